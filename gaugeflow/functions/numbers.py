@@ -40,9 +40,36 @@ def clamp(col: Column, low: float | None = None, high: float | None = None) -> C
     return F.when(col.isNotNull(), out)
 
 
+EXACT_LIMIT = 1e15
+
+
+def _scaled_integer(col: Column, digits: int, ties: str) -> Column:
+    """Integer nearest to ``|col| * 10**digits``, decided on the exact binary value of the double.
+
+    The rounding error of the product is recovered by splitting the factor in two halves, so 2.675
+    (which is really 2.67499...) counts as below the tie. ``ties`` settles exact ties: ``even`` as in
+    Python, ``up`` as in JavaScript. Only for results below 2**53.
+    """
+    if ties not in ("even", "up"):
+        raise ValueError("ties is 'even' or 'up'")
+    scale = F.lit(10.0**digits)
+    x = F.least(F.abs(col), F.lit(EXACT_LIMIT / 10.0**digits))
+    split = x * F.lit(134217729.0)
+    high = split - (split - x)
+    product = x * scale
+    error = (high * scale - product) + (x - high) * scale
+    whole = F.floor(product)
+    rest = (product - whole) - F.lit(0.5)
+    on_tie = F.lit(True) if ties == "up" else whole % 2 == 1
+    up = (rest > 0) | ((rest == 0) & ((error > 0) | ((error == 0) & on_tie)))
+    return whole + up.cast("long")
+
+
 def round_half_even(col: Column, digits: int) -> Column:
-    """Half-even on the decimal text of the double, the closest built-in to Python's ``round``."""
-    return F.bround(col, digits)
+    """Python's ``round``: nearest decimal to the exact binary value, exact ties to even."""
+    nearest = _scaled_integer(col, digits, "even") / F.lit(10.0**digits)
+    small = F.abs(col) < F.lit(EXACT_LIMIT / 10.0**digits)
+    return F.when(small, F.when(col < 0, -nearest).otherwise(nearest)).otherwise(col)
 
 
 def round_half_up_integer(col: Column) -> Column:
@@ -50,14 +77,26 @@ def round_half_up_integer(col: Column) -> Column:
     return F.floor(col + F.lit(0.5))
 
 
-def fixed_text(col: Column, digits: int) -> Column:
-    """Fixed-point text such as ``3.10``; null stays null."""
-    return F.when(col.isNotNull(), F.format_string(f"%.{digits}f", col))
+def fixed_text(col: Column, digits: int, ties: str = "up") -> Column:
+    """Fixed-point text such as ``3.10``, correctly rounded on the exact binary value; null stays null.
+
+    ``format_string`` alone rounds the shortest decimal text instead, which turns 30.95 (really
+    30.9499...) into 31.0 where the browser and Python show 30.9.
+    """
+    nearest = _scaled_integer(col, digits, ties)
+    sign = F.when(col < 0, F.lit("-")).otherwise(F.lit(""))
+    unit = 10**digits
+    if digits:
+        text = F.format_string(f"%s%d.%0{digits}d", sign, F.floor(nearest / unit), nearest % unit)
+    else:
+        text = F.format_string("%s%d", sign, nearest)
+    small = F.abs(col) < F.lit(EXACT_LIMIT / 10.0**digits)
+    return F.when(col.isNull(), F.lit(None).cast("string")).when(small, text).otherwise(F.format_string(f"%.{digits}f", col))
 
 
 def percent_text(col: Column, digits: int = 1) -> Column:
     """Ratio as percent text, ``0.9031 -> 90.3%``."""
-    return F.when(col.isNotNull(), F.format_string(f"%.{digits}f%%", col * F.lit(100.0)))
+    return F.concat(fixed_text(col * F.lit(100.0), digits, "even"), F.lit("%"))
 
 
 def padded(col: Column, width: int, right_align: bool = False) -> Column:
@@ -71,7 +110,7 @@ def display_value(col: Column) -> Column:
     """Two decimals below 10, a whole number from 10 on, ``N/A`` when missing."""
     return (
         F.when(col.isNull(), F.lit("N/A"))
-        .when(col < 10, F.format_string("%.2f", col))
+        .when(col < 10, fixed_text(col, 2))
         .otherwise(round_half_up_integer(col).cast("string"))
     )
 

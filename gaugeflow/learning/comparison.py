@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import lookup
-from ..functions.numbers import padded
+from ..functions.numbers import fixed_text, padded
 
 # --- fixed values: metric direction ---
 HIGHER_IS_BETTER = {"rmse": False, "mae": False, "r2": True}
@@ -87,7 +87,7 @@ def report_rows(record: DataFrame, files: DataFrame | None = None) -> DataFrame:
         ("dataset", "Feature count", text(F.size(d["features"]))),
         ("dataset", "Features", F.array_join(d["features"], ", ")),
     ]
-    four = lambda m, n: F.format_string("%.4f", F.col(f"models.{m}.{n}"))
+    four = lambda m, n: fixed_text(F.col(f"models.{m}.{n}"), 4, "even")
     left, right = MODEL_TITLES
     for name, better in HIGHER_IS_BETTER.items():
         a, b = F.col(f"models.{left}.{name}"), F.col(f"models.{right}.{name}")
@@ -122,7 +122,7 @@ def report_text(rows: DataFrame) -> DataFrame:
     parts = F.split("value", r"\|")
     wide = F.concat(
         F.lit("  "), padded(F.col("key"), 10), F.lit(" "), padded(F.get(parts, F.lit(0)), 20, True), F.lit(" "),
-        padded(F.get(parts, F.lit(1)), 16, True), F.coalesce(F.concat(F.lit("  "), F.get(parts, F.lit(2))), F.lit("")),
+        padded(F.get(parts, F.lit(1)), 16, True), F.coalesce(F.concat(F.lit("  "), F.get(parts, F.lit(2)), F.lit(" ✓")), F.lit("")),
     )
     plain = F.concat(F.lit("  "), padded(F.col("key"), 22), F.lit(": "), F.col("value"))
     lines = rows.select(

@@ -140,11 +140,12 @@ def x13(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.round(value, 6).alias("humidity"))
 
 
-@query("x14_round_half_even", "SELECT l_orderkey, l_linenumber, round_even(sqrt(l_extendedprice), 2) AS root, round_even(l_quantity / 2, 0) AS half FROM lineitem")
+@query("x14_round_half_even", "SELECT l_orderkey, l_linenumber, CAST(printf('%.2f', sqrt(l_extendedprice)) AS DOUBLE) AS root, CAST(printf('%.2f', l_quantity * l_discount * 0.5) AS DOUBLE) AS near_ties, round_even(l_quantity / 2, 0) AS half FROM lineitem")
 def x14(spark, sf):
     return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber",
         numbers.round_half_even(F.sqrt("l_extendedprice"), 2).alias("root"),
+        numbers.round_half_even(F.col("l_quantity") * F.col("l_discount") * 0.5, 2).alias("near_ties"),
         numbers.round_half_even(F.col("l_quantity") / 2, 0).alias("half"),
     )
 

@@ -26,7 +26,7 @@ def _score():
     return scoring.health_score({p: F.col(c) for p, c in POLLUTANTS.items()})
 
 
-@query("h1_health_score", f"WITH {SCORED} SELECT reading_id, round(score, 6) AS score, round_even(score, 1) AS shown FROM scored")
+@query("h1_health_score", f"WITH {SCORED} SELECT reading_id, round(score, 6) AS score, CAST(printf('%.1f', score) AS DOUBLE) AS shown FROM scored")
 def h1(spark, sf):
     from ..functions.numbers import round_half_even
 
@@ -87,9 +87,9 @@ def h9(spark, sf):
 
 @query(
     "h10_percent_of_threshold",
-    """SELECT event_id, event_type, CASE WHEN v IS NULL THEN 'N/A' ELSE printf('%.1f', least(100, v / thr * 100)) END AS percent FROM
-       (SELECT event_id, event_type, CASE WHEN event_id % 10 <> 0 THEN value END AS v,
-        CAST(CASE event_type WHEN 'click' THEN 75 WHEN 'view' THEN 150 WHEN 'signup' THEN 200 WHEN 'purchase' THEN 240 ELSE 4000 END AS DOUBLE) AS thr FROM events)""",
+    """SELECT event_id, event_type, CASE WHEN p IS NULL THEN 'N/A' ELSE printf('%.1f', CASE WHEN (p * 4) % 2 = 1 THEN p + 0.01 ELSE p END) END AS percent FROM
+       (SELECT event_id, event_type, CASE WHEN v IS NOT NULL THEN least(100, v / thr * 100) END AS p FROM (SELECT event_id, event_type, CASE WHEN event_id % 10 <> 0 THEN value END AS v,
+        CAST(CASE event_type WHEN 'click' THEN 75 WHEN 'view' THEN 150 WHEN 'signup' THEN 200 WHEN 'purchase' THEN 240 ELSE 4000 END AS DOUBLE) AS thr FROM events))""",
 )
 def h10(spark, sf):
     limits = [(c, presets.POLLUTANT_THRESHOLDS[p]) for p, c in POLLUTANTS.items()]
@@ -145,7 +145,7 @@ def h15(spark, sf):
 
 
 RECORD_SQL = f"""SELECT event_id, value > 50 AS high, CASE WHEN value > 50 THEN 'HIGH CO Risk' ELSE 'LOW CO Risk' END AS co_label,
-  round_even(sqrt(value), 2) AS benzene, {OVERRIDE_SQL} AS cluster_id,
+  CAST(printf('%.2f', sqrt(value)) AS DOUBLE) AS benzene, {OVERRIDE_SQL} AS cluster_id,
   CASE {OVERRIDE_SQL} WHEN 0 THEN 'Clean' WHEN 1 THEN 'Moderate' WHEN 2 THEN 'High' ELSE 'Severe' END AS cluster_label,
   {RUSH_SQL} AS is_rush, round(score, 6) AS score, {LABEL_SQL} AS risk_label
   FROM (SELECT *, (0.4 * least(value / 75, 1) + 0.1 * least(CAST(20.0 AS DOUBLE) * value / 4000, 1)) * 100 AS score FROM events)"""
