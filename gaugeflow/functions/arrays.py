@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MAX_CENTRE_CELLS = 1_000_000
+
 
 def array_of(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(v) for v in values])
@@ -50,10 +53,38 @@ def reshape(col: Column, rows: int, columns: int) -> Column:
     return F.when(col.isNull() | (F.size(col) == rows * columns), shaped).otherwise(F.raise_error(message))
 
 
-def squared_distance(col: Column, centre: Sequence[float]) -> Column:
-    """Squared Euclidean distance to a fixed centre, unrolled so that it is compiled, not interpreted."""
-    out = None
-    for i, value in enumerate(centre):
-        gap = col.getItem(i).cast("double") - F.lit(float(value))
-        out = gap * gap if out is None else out + gap * gap
-    return out
+def nearest_centre(vector: Column, centres: Sequence[Sequence[float]]) -> Column:
+    """``struct(cluster, distance2)``: nearest fixed centre by squared Euclidean distance, ties to the
+    lowest number. Null for a null vector or one with a null element; a wrong length fails the job.
+
+    Works on whole Arrow batches. Interpreted higher-order functions take several times as long, and
+    one compiled expression per coordinate exceeds what can be compiled. The centres travel with the
+    task, so there must be few of them: ``MAX_CENTRE_CELLS`` numbers at most.
+    """
+    import numpy as np
+
+    table = np.asarray(centres, dtype="float64")
+    if table.ndim != 2 or not table.size:
+        raise ValueError("need at least one centre, all of one length")
+    if table.size > MAX_CENTRE_CELLS:
+        raise ValueError("too many centres to ship to every task; join with a table of centres instead")
+
+    @F.arrow_udf("struct<cluster: int, distance2: double>")
+    def nearest(vectors: pa.Array) -> pa.Array:
+        usable = vectors.is_valid().to_numpy(zero_copy_only=False)
+        lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)[usable]
+        if (lengths != table.shape[1]).any():
+            raise ValueError(f"vector length differs from the centre length {table.shape[1]}")
+        cells = vectors.filter(pa.array(usable)).flatten().to_numpy(zero_copy_only=False)
+        points = cells.astype("float64").reshape(-1, table.shape[1])
+        distances = np.stack([((points - centre) ** 2).sum(axis=1) for centre in table], axis=1)
+        best = distances.argmin(axis=1)
+        least = distances[np.arange(len(points)), best]
+        cluster, distance2 = np.zeros(len(usable), "int32"), np.full(len(usable), np.nan)
+        cluster[usable], distance2[usable] = best, least
+        missing = np.isnan(distance2)
+        return pa.StructArray.from_arrays(
+            [pa.array(cluster), pa.array(distance2)], names=["cluster", "distance2"], mask=pa.array(missing)
+        )
+
+    return nearest(vector)

@@ -10,17 +10,28 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import squared_distance
 from ..functions.labels import lookup
 from ..operators.ranking import rank_groups
 
 
-def fit_kmeans(df: DataFrame, k: int, features: str = "features", seeds: Sequence[int] = (42,)) -> KMeansModel:
+def _side_by_side(df: DataFrame, task, items: Sequence, parallelism: int) -> list:
+    """Run independent fits from a few driver threads, so that their jobs share the executors."""
+    with ThreadPool(max(1, min(parallelism, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(df.sparkSession)(task), items)
+
+
+def fit_kmeans(
+    df: DataFrame, k: int, features: str = "features", seeds: Sequence[int] = (42,), parallelism: int = 4
+) -> KMeansModel:
     """Best of several seeded fits by training cost. Persist ``df`` when there are several seeds."""
-    fits = [KMeans(k=k, seed=seed, featuresCol=features).fit(df) for seed in seeds]
+
+    def fit(seed: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed, featuresCol=features).fit(df)
+
+    fits = [fit(seeds[0])] if len(seeds) == 1 else _side_by_side(df, fit, list(seeds), parallelism)
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
@@ -43,10 +54,9 @@ def elbow(
         def cost(k: int) -> tuple[int, float]:
             if k == 1:
                 return 1, float(one_cluster_cost(source, features).first()[0])
-            return k, float(fit_kmeans(source, k, features, seeds).summary.trainingCost)
+            return k, float(fit_kmeans(source, k, features, seeds, 1).summary.trainingCost)
 
-        with ThreadPool(parallelism) as pool:
-            rows = pool.map(inheritable_thread_target(df.sparkSession)(cost), list(ks))
+        rows = _side_by_side(df, cost, list(ks), parallelism)
     finally:
         source.unpersist()
     return df.sparkSession.createDataFrame(sorted(rows), "k int, inertia double")
@@ -63,16 +73,6 @@ def project_pca(df: DataFrame, k: int = 2, features: str = "features") -> DataFr
     return out.withColumns({f"pc{i + 1}": F.get(parts, F.lit(i)) * s for i, s in enumerate(signs)}).drop("__pca")
 
 
-def nearest_centre(vector: Column, centres: Sequence[Sequence[float]]) -> Column:
-    """``struct(cluster, distance2)`` of the nearest fixed centre, ties to the lowest number."""
-    options = [
-        F.struct(squared_distance(vector, c).alias("distance2"), F.lit(i).alias("cluster"))
-        for i, c in enumerate(centres)
-    ]
-    best = F.array_min(F.array(*options))
-    return F.struct(best.getField("cluster").alias("cluster"), best.getField("distance2").alias("distance2"))
-
-
 def name_clusters(df: DataFrame, cluster: str, value: str, names: dict[int, str]) -> DataFrame:
     """Add ``rank`` (0.. by ascending mean of ``value``) and ``state`` to rows with a cluster id.
 

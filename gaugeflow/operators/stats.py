@@ -9,7 +9,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import squared_distance
+from ..functions.arrays import nearest_centre
 from .schema import quoted
 
 
@@ -219,8 +219,8 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 def inertia(df: DataFrame, column: str, centres: Sequence[Sequence[float]]) -> DataFrame:
     """Sum over rows of the squared distance to the nearest of the given centres."""
-    nearest = F.array_min(F.array(*[squared_distance(F.col(column), c) for c in centres]))
-    return df.agg(F.sum(nearest).alias("inertia"))
+    nearest = nearest_centre(F.col(quoted(column)), centres)
+    return df.select(nearest.getField("distance2").alias("d")).agg(F.sum("d").alias("inertia"))
 
 
 def scatter_about_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -21,7 +21,7 @@ def raw_readings(spark, sf):
     """The wide weekly table as ``;``-separated text with decimal commas, -200 for missing values, a
     mostly missing channel and unnamed trailing columns. Returns the folder."""
     path = scratch_dir(spark, "raw")
-    text = lambda c: F.translate(F.coalesce(F.round(c, 4).cast("string"), F.lit("-200")), ".", ",")
+    text = lambda c: F.translate(F.coalesce(c.cast("string"), F.lit("-200")), ".", ",")
     sparse = F.when(F.col("reading_id") % 2 == 0, F.col("click"))
     nothing = F.lit(None).cast("string")
     rows = weekly(spark, sf).select(
@@ -35,11 +35,11 @@ def raw_readings(spark, sf):
     return path
 
 
-RAW_SQL = f"{WEEKLY}, raw AS (SELECT reading_id, first_ts, {', '.join(f'round({c}, 4) AS {c}' for c in CHANNELS)}, CASE WHEN reading_id % 2 = 0 THEN round(click, 4) END AS half FROM weekly)"
+RAW_SQL = f"{WEEKLY}, raw AS (SELECT reading_id, first_ts, {', '.join(CHANNELS)}, CASE WHEN reading_id % 2 = 0 THEN click END AS half FROM weekly)"
 
 
 def _filled_sql(source, columns):
-    return ", ".join(f"round(coalesce({c}, (SELECT avg({c}) FROM {source})), 6) AS {c}" for c in columns)
+    return ", ".join(f"round(coalesce({c}, (SELECT avg({c}) FROM {source})), 8) AS {c}" for c in columns)
 
 
 def _hours(low, high):
@@ -58,7 +58,7 @@ def j1(spark, sf):
     path = scratch_dir(spark, "j1")
     write_parquet(cleaned, path)
     back = spark.read.parquet(path).withColumnsRenamed({"Id": "id", "Date": "day", "Hour": "hour", "IsRushHour": "is_rush"})
-    return rounded(back.drop("Time"), *CHANNELS)
+    return rounded(back.drop("Time"), *CHANNELS, digits=8)
 
 
 @query(
@@ -72,7 +72,7 @@ def j2(spark, sf):
     path = scratch_dir(spark, "j2")
     write_csv(cleaned, path)
     back = spark.read.option("header", True).schema(cleaned.schema).csv(path)
-    return rounded(back.select(F.col("Id").alias("id"), *numeric, "is_rush_hour"), *numeric)
+    return rounded(back.select(F.col("Id").alias("id"), *numeric, "is_rush_hour"), *numeric, digits=8)
 
 
 def _features(spark, sf):
@@ -84,7 +84,7 @@ def _features(spark, sf):
 def j3(spark, sf):
     out = scratch_dir(spark, "j3")
     train.train_and_compare(
-        _features(spark, sf), "reading_id", "error", model_path=f"{out}/models", metrics_path=f"{out}/metrics", parallelism=4
+        _features(spark, sf), "reading_id", "error", model_path=f"{out}/models", metrics_path=f"{out}/metrics", parallelism=8
     )
     record = comparison.read_metrics(spark, f"{out}/metrics")
     return rounded(comparison.unpack_metrics(record).drop("higher_better", "ordinal"), "value", digits=4)

@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from .. import presets
+from ..functions.arrays import nearest_centre
 from ..functions.labels import lookup
 from ..learning import clustering, comparison, pipelines, scaling, split
 from ..operators import filters, scoring, stats
@@ -20,11 +21,11 @@ DIMS = [f"e{i}" for i in range(64)]
 COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in CHANNELS)
 
 
-@query("f8_skip_invalid_features", f"WITH {WEEKLY} SELECT reading_id, {', '.join(f'round({c}, 6) AS {c}' for c in CHANNELS)} FROM weekly WHERE {COMPLETE}")
+@query("f8_skip_invalid_features", f"WITH {WEEKLY} SELECT reading_id, {', '.join(f'round({c}, 8) AS {c}' for c in CHANNELS)} FROM weekly WHERE {COMPLETE}")
 def f8(spark, sf):
     vectors = pipelines.assembler(CHANNELS).transform(weekly(spark, sf).select("reading_id", *CHANNELS))
     cells = pipelines.plain_vectors(vectors.select("reading_id", "raw_features"))
-    return cells.select("reading_id", *[F.round(F.get("raw_features", F.lit(i)), 6).alias(c) for i, c in enumerate(CHANNELS)])
+    return cells.select("reading_id", *[F.round(F.get("raw_features", F.lit(i)), 8).alias(c) for i, c in enumerate(CHANNELS)])
 
 
 @query("l1_vector_assembly", "SELECT l_orderkey, l_linenumber, round(l_quantity + l_discount + l_tax, 6) AS total FROM lineitem")
@@ -87,7 +88,7 @@ def l5(spark, sf):
     folded = split.with_fold(keyed.select("key", PRICE, *LINE_FEATURES), "key", 3).persist()
     try:
         grid = pipelines.elastic_net_grid(net)
-        search = pipelines.cross_validate(pipelines.pipeline(LINE_FEATURES, net), grid, folded, PRICE, "fold", parallelism=4)
+        search = pipelines.cross_validate(pipelines.pipeline(LINE_FEATURES, net), grid, folded, PRICE, "fold", parallelism=8)
     finally:
         folded.unpersist()
     rows = [(p[net.regParam], p[net.elasticNetParam], float(m)) for p, m in zip(grid, search.avgMetrics)]
@@ -129,7 +130,7 @@ def l8(spark, sf):
 def l9(spark, sf):
     vectors = _labelled_vectors(spark, sf).persist()
     try:
-        model = clustering.fit_kmeans(vectors, 4, seeds=range(42, 52))
+        model = clustering.fit_kmeans(vectors, 4, seeds=range(42, 52), parallelism=8)
     finally:
         vectors.unpersist()
     return model.transform(vectors).select("vec_id", F.col("prediction").alias("cluster"))
@@ -270,7 +271,7 @@ NEAREST = f"""cells AS ({VECTOR_CELLS}), centres AS (SELECT label AS cluster, i,
 
 @query("l21_nearest_centre", f"WITH {NEAREST} SELECT vec_id, cluster, round(d2, 6) AS distance2 FROM best")
 def l21(spark, sf):
-    nearest = clustering.nearest_centre(F.col("embedding"), label_centres(spark, sf))
+    nearest = nearest_centre(F.col("embedding"), label_centres(spark, sf))
     found = table(spark, sf, "embeddings").select("vec_id", nearest.alias("found")).select("vec_id", "found.*")
     return rounded(found, "distance2")
 
@@ -287,7 +288,7 @@ def a15(spark, sf):
         CASE (cluster + 1) % 6 WHEN 0 THEN '🌿' WHEN 1 THEN '🔵' WHEN 2 THEN '🟠' WHEN 3 THEN '🔴' ELSE '🔘' END AS emoji FROM best""",
 )
 def h6(spark, sf):
-    nearest = clustering.nearest_centre(F.col("embedding"), label_centres(spark, sf))
+    nearest = nearest_centre(F.col("embedding"), label_centres(spark, sf))
     ranks = {c: (c + 1) % 6 for c in range(10)}
     state = scoring.cluster_state(lookup(nearest.getField("cluster"), ranks, nearest.getField("cluster")))
     return table(spark, sf, "embeddings").select("vec_id", state.alias("state")).select("vec_id", "state.*")

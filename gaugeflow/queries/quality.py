@@ -63,28 +63,28 @@ def m4(spark, sf):
 
 @query(
     "m4_drop_sparse_columns",
-    f"WITH {WEEKLY} SELECT reading_id, {', '.join(f'round({c}, 6) AS {c}' for c in CHANNELS)} FROM weekly",
+    f"WITH {WEEKLY} SELECT reading_id, {', '.join(f'round({c}, 8) AS {c}' for c in CHANNELS)} FROM weekly",
 )
 def m4_drop(spark, sf):
     sparse = F.when(F.col("reading_id") % 2 == 0, F.col("click"))
     wide = weekly(spark, sf).select("reading_id", *CHANNELS, sparse.alias("half"))
     left, kept, _ = quality.drop_sparse_columns(wide, [*CHANNELS, "half"], presets.SPARSE_THRESHOLD)
-    return rounded(left, *kept)
+    return rounded(left, *kept, digits=8)
 
 
 @query(
     "m5_mean_imputation",
-    f"WITH {WEEKLY} SELECT reading_id, {', '.join(f'round(coalesce({c}, (SELECT avg({c}) FROM weekly)), 6) AS {c}' for c in CHANNELS)} FROM weekly",
+    f"WITH {WEEKLY} SELECT reading_id, {', '.join(f'round(coalesce({c}, (SELECT avg({c}) FROM weekly)), 8) AS {c}' for c in CHANNELS)} FROM weekly",
 )
 def m5(spark, sf):
     wide = weekly(spark, sf).select("reading_id", *CHANNELS)
-    return rounded(quality.impute_mean(wide, CHANNELS), *CHANNELS)
+    return rounded(quality.impute_mean(wide, CHANNELS), *CHANNELS, digits=8)
 
 
-@query("m6_defaults", f"WITH {WEEKLY} SELECT reading_id, round(coalesce(click, 0.0), 6) AS click, round(coalesce(view, 20.0), 6) AS view, 50.0::DOUBLE AS humidity FROM weekly")
+@query("m6_defaults", f"WITH {WEEKLY} SELECT reading_id, round(coalesce(click, 0.0), 8) AS click, round(coalesce(view, 20.0), 8) AS view, 50.0::DOUBLE AS humidity FROM weekly")
 def m6(spark, sf):
     wide = weekly(spark, sf).select("reading_id", "click", "view")
-    return rounded(quality.fill_defaults(wide, {"click": 0.0, "view": 20.0, "humidity": 50.0}), "click", "view")
+    return rounded(quality.fill_defaults(wide, {"click": 0.0, "view": 20.0, "humidity": 50.0}), "click", "view", digits=8)
 
 
 @query("m7_parse_or_default", "SELECT doc_id, coalesce(try_cast(trim(split_part(text, ' ', 1)) AS INTEGER), 0) AS first_number, coalesce(try_cast(replace(source, 'src', '') AS INTEGER), 0) AS source_number FROM documents")

@@ -25,10 +25,10 @@ def p2(spark, sf):
     return schema.drop_unnamed(padded)
 
 
-@query("p3_drop_all_null_columns", f"WITH {WEEKLY} SELECT reading_id, {rounded_sql(CHANNELS)} FROM weekly")
+@query("p3_drop_all_null_columns", f"WITH {WEEKLY} SELECT reading_id, {rounded_sql(CHANNELS, 8)} FROM weekly")
 def p3(spark, sf):
     wide = weekly(spark, sf).select("reading_id", *CHANNELS).withColumn("nothing", F.lit(None).cast("double"))
-    return rounded(schema.drop_all_null_columns(wide), *CHANNELS)
+    return rounded(schema.drop_all_null_columns(wide), *CHANNELS, digits=8)
 
 
 @query("p4_drop_columns", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
@@ -77,14 +77,14 @@ def p8(spark, sf):
 
 
 def _imputed_sql(source):
-    parts = ", ".join(f"round(coalesce({c}, (SELECT avg({c}) FROM {source})), 6) AS {c}" for c in CHANNELS)
+    parts = ", ".join(f"round(coalesce({c}, (SELECT avg({c}) FROM {source})), 8) AS {c}" for c in CHANNELS)
     return f"SELECT reading_id, {parts} FROM {source}"
 
 
 @query("p9_overwrite_in_place", f"WITH {DAILY} {_imputed_sql('daily')}")
 def p9(spark, sf):
     wide = daily(spark, sf).select("reading_id", *CHANNELS)
-    return rounded(quality.impute_mean(wide, CHANNELS), *CHANNELS)
+    return rounded(quality.impute_mean(wide, CHANNELS), *CHANNELS, digits=8)
 
 
 @query(
@@ -112,23 +112,23 @@ def p12(spark, sf):
     )
 
 
-@query("f1_require_target", f"WITH {WEEKLY} SELECT reading_id, round(click, 6) AS click FROM weekly WHERE click IS NOT NULL")
+@query("f1_require_target", f"WITH {WEEKLY} SELECT reading_id, round(click, 8) AS click FROM weekly WHERE click IS NOT NULL")
 def f1(spark, sf):
-    return rounded(filters.require_target(weekly(spark, sf), "click").select("reading_id", "click"), "click")
+    return rounded(filters.require_target(weekly(spark, sf), "click").select("reading_id", "click"), "click", digits=8)
 
 
-BLANKS_SQL = f"""WITH {DAILY} SELECT reading_id, {rounded_sql(CHANNELS[:2])} FROM daily WHERE click IS NOT NULL OR view IS NOT NULL"""
+BLANKS_SQL = f"""WITH {DAILY} SELECT reading_id, {rounded_sql(CHANNELS[:2], 8)} FROM daily WHERE click IS NOT NULL OR view IS NOT NULL"""
 
 
 @query("f2_drop_blank_rows", BLANKS_SQL)
 def f2(spark, sf):
     pair = CHANNELS[:2]
-    return rounded(filters.drop_blank_rows(daily(spark, sf).select("reading_id", *pair), pair), *pair)
+    return rounded(filters.drop_blank_rows(daily(spark, sf).select("reading_id", *pair), pair), *pair, digits=8)
 
 
-@query("f3_drop_incomplete_rows", f"WITH {WEEKLY} SELECT reading_id, {rounded_sql(CHANNELS)} FROM weekly WHERE {' AND '.join(c + ' IS NOT NULL' for c in CHANNELS)}")
+@query("f3_drop_incomplete_rows", f"WITH {WEEKLY} SELECT reading_id, {rounded_sql(CHANNELS, 8)} FROM weekly WHERE {' AND '.join(c + ' IS NOT NULL' for c in CHANNELS)}")
 def f3(spark, sf):
-    return rounded(filters.drop_incomplete_rows(weekly(spark, sf).select("reading_id", *CHANNELS), CHANNELS), *CHANNELS)
+    return rounded(filters.drop_incomplete_rows(weekly(spark, sf).select("reading_id", *CHANNELS), CHANNELS), *CHANNELS, digits=8)
 
 
 @query("f4_comparison", "SELECT event_id, value FROM events WHERE value > 30")

@@ -1,7 +1,5 @@
 """Column expressions against their plain Python meaning."""
 
-import math
-
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -121,8 +119,3 @@ def test_clock(spark):
     assert many(spark, [None], "int", lambda c: clock.rush_flag(c, presets.RUSH_PANEL)) == [0]
     stamp = one(spark, clock.parse_timestamp(F.lit("10/03/2004"), F.lit("18.00.00")).cast("string"))
     assert stamp == "2004-03-10 18:00:00" and one(spark, clock.parse_timestamp(F.lit("x"), F.lit("y"))) is None
-
-
-def test_squared_distance(spark):
-    got = one(spark, arrays.squared_distance(F.array(F.lit(1.0), F.lit(2.0)), [4.0, 6.0]))
-    assert math.isclose(got, 25.0)

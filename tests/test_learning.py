@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from gaugeflow.functions.arrays import nearest_centre
 from gaugeflow.learning import clustering, comparison, pipelines, scaling, split
 from gaugeflow.plans import explore, predict, report, train
 from gaugeflow.sources.records import write_json
@@ -133,15 +134,20 @@ def test_pca_is_centred_and_ordered(sample):
 
 def test_nearest_centre_ties_and_values(spark):
     df = spark.createDataFrame([([0.0, 0.0],), ([3.0, 4.0],), ([1.0, 0.0],)], "v array<double>")
-    got = df.select(clustering.nearest_centre(F.col("v"), [[0.0, 0.0], [2.0, 0.0], [3.0, 4.0]]).alias("n")).select("n.*").collect()
+    got = df.select(nearest_centre(F.col("v"), [[0.0, 0.0], [2.0, 0.0], [3.0, 4.0]]).alias("n")).select("n.*").collect()
     assert [tuple(r) for r in got] == [(0, 0.0), (2, 0.0), (0, 1.0)]
+    gaps = spark.createDataFrame([(None,), ([None, 1.0],), ([3.0, 4.0],)], "v array<double>")
+    found = gaps.select(nearest_centre(F.col("v"), [[3.0, 3.0]]).alias("n")).collect()
+    assert [r["n"] and tuple(r["n"]) for r in found] == [None, None, (0, 1.0)]
+    with pytest.raises(Exception, match="length"):
+        gaps.select(nearest_centre(F.col("v"), [[1.0]])).collect()
 
 
 def test_kmeans_assignment_equals_nearest_centre(sample):
     vectors = pipelines.assembler(["a", "b", "c"], "features").transform(sample)
     model = clustering.fit_kmeans(vectors, 3, seeds=(1, 2, 3))
     centres = [list(map(float, c)) for c in model.clusterCenters()]
-    scored = model.transform(vectors).withColumn("n", clustering.nearest_centre(F.array("a", "b", "c"), centres).getField("cluster"))
+    scored = model.transform(vectors).withColumn("n", nearest_centre(F.array("a", "b", "c"), centres).getField("cluster"))
     assert scored.filter("n <> prediction").count() == 0
 
 
