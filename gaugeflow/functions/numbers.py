@@ -31,45 +31,47 @@ def default_for_missing(col: Column, default) -> Column:
 
 
 def clamp(col: Column, low: float | None = None, high: float | None = None) -> Column:
-    """Limit to ``[low, high]``; null stays null (``least``/``greatest`` alone would skip it)."""
-    out = col
-    if high is not None:
-        out = F.least(out, F.lit(float(high)))
-    if low is not None:
-        out = F.greatest(out, F.lit(float(low)))
-    return F.when(col.isNotNull(), out)
+    """Limit to ``[low, high]``; null stays null (``least``/``greatest`` would skip it)."""
+    out = None
+    for edge, outside in ((high, lambda e: col > e), (low, lambda e: col < e)):
+        if edge is not None:
+            limit = F.lit(float(edge))
+            out = F.when(outside(limit), limit) if out is None else out.when(outside(limit), limit)
+    return col if out is None else out.otherwise(col)
 
 
 EXACT_LIMIT = 1e15
 
 
-def _scaled_integer(col: Column, digits: int, ties: str) -> Column:
-    """Integer nearest to ``|col| * 10**digits``, decided on the exact binary value of the double.
+def _nearest_integer(x: Column, digits: int, ties: str) -> Column:
+    """Whole number nearest to ``x * 10**digits`` (as a double), decided on the exact binary value.
 
-    The rounding error of the product is recovered by splitting the factor in two halves, so 2.675
-    (which is really 2.67499...) counts as below the tie. ``ties`` settles exact ties: ``even`` as in
-    Python, ``up`` as in JavaScript. Only for results below 2**53.
+    Only where the product lands on a half does its rounding error matter. The error is recovered
+    there by splitting ``x`` in two halves that multiply exactly, so 2.675 (which is really
+    2.67499...) counts as below the tie. ``ties`` settles exact ties: ``even`` or ``up``.
     """
     if ties not in ("even", "up"):
         raise ValueError("ties is 'even' or 'up'")
     scale = F.lit(10.0**digits)
-    x = F.least(F.abs(col), F.lit(EXACT_LIMIT / 10.0**digits))
-    split = x * F.lit(134217729.0)
-    high = split - (split - x)
-    product = x * scale
-    error = (high * scale - product) + (x - high) * scale
-    whole = F.floor(product)
-    rest = (product - whole) - F.lit(0.5)
-    on_tie = F.lit(True) if ties == "up" else whole % 2 == 1
-    up = (rest > 0) | ((rest == 0) & ((error > 0) | ((error == 0) & on_tie)))
-    return whole + up.cast("long")
+
+    def settle(v: Column) -> Column:
+        product = v * scale
+        split = v * F.lit(134217729.0)
+        high = split - (split - v)
+        error = (high * scale - product) + (v - high) * scale
+        exact = F.rint(product) if ties == "even" else product + 0.5
+        return F.when(error > 0, product + 0.5).when(error < 0, product - 0.5).otherwise(exact)
+
+    # A lambda binds its argument, so the rare branch holds one copy of ``x`` instead of dozens;
+    # repeated copies make generated methods too long for the JIT compiler.
+    rare = F.get(F.transform(F.array(x), settle), F.lit(0))
+    return F.when(F.abs(x * scale - F.rint(x * scale)) != 0.5, F.rint(x * scale)).otherwise(rare)
 
 
 def round_half_even(col: Column, digits: int) -> Column:
     """Python's ``round``: nearest decimal to the exact binary value, exact ties to even."""
-    nearest = _scaled_integer(col, digits, "even") / F.lit(10.0**digits)
     small = F.abs(col) < F.lit(EXACT_LIMIT / 10.0**digits)
-    return F.when(small, F.when(col < 0, -nearest).otherwise(nearest)).otherwise(col)
+    return F.when(small, _nearest_integer(col, digits, "even") / F.lit(10.0**digits)).otherwise(col)
 
 
 def round_half_up_integer(col: Column) -> Column:
@@ -83,15 +85,11 @@ def fixed_text(col: Column, digits: int, ties: str = "up") -> Column:
     ``format_string`` alone rounds the shortest decimal text instead, which turns 30.95 (really
     30.9499...) into 31.0 where the browser and Python show 30.9.
     """
-    nearest = _scaled_integer(col, digits, ties)
-    sign = F.when(col < 0, F.lit("-")).otherwise(F.lit(""))
-    unit = 10**digits
-    if digits:
-        text = F.format_string(f"%s%d.%0{digits}d", sign, F.floor(nearest / unit), nearest % unit)
-    else:
-        text = F.format_string("%s%d", sign, nearest)
-    small = F.abs(col) < F.lit(EXACT_LIMIT / 10.0**digits)
-    return F.when(col.isNull(), F.lit(None).cast("string")).when(small, text).otherwise(F.format_string(f"%.{digits}f", col))
+    size = F.abs(col)
+    nearest = _nearest_integer(size, digits, ties) / F.lit(10.0**digits)
+    text = F.concat(F.when(col < 0, F.lit("-")).otherwise(F.lit("")), nearest.cast(f"decimal(38,{digits})").cast("string"))
+    small = size < F.lit(EXACT_LIMIT / 10.0**digits)
+    return F.when(col.isNotNull(), F.when(small, text).otherwise(F.format_string(f"%.{digits}f", col)))
 
 
 def percent_text(col: Column, digits: int = 1) -> Column:
@@ -102,8 +100,8 @@ def percent_text(col: Column, digits: int = 1) -> Column:
 def padded(col: Column, width: int, right_align: bool = False) -> Column:
     """Pad with blanks to ``width``; text longer than ``width`` is kept whole."""
     text = col.cast("string")
-    pad = F.repeat(F.lit(" "), F.greatest(F.lit(width) - F.length(text), F.lit(0)))
-    return F.concat(pad, text) if right_align else F.concat(text, pad)
+    size = F.greatest(F.lit(width), F.length(text))
+    return F.lpad(text, size, F.lit(" ")) if right_align else F.rpad(text, size, F.lit(" "))
 
 
 def display_value(col: Column) -> Column:

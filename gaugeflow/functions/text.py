@@ -26,9 +26,14 @@ def split_text(col: Column, separator: str, index: int) -> Column:
     return F.split_part(col, F.lit(separator), F.lit(index))
 
 
+def pieces(col: Column, boundary: str = "[^a-z]+") -> Column:
+    """Lower-cased text between ``boundary`` matches; the first and last piece may be empty."""
+    return F.split(F.lower(col), boundary)
+
+
 def tokens(col: Column, boundary: str = "[^a-z]+") -> Column:
-    """Lower-cased tokens between ``boundary`` matches, empty pieces removed."""
-    return F.filter(F.split(F.lower(col), boundary), lambda t: t != "")
+    """:func:`pieces` without the empty ones, as an array."""
+    return F.array_remove(pieces(col, boundary), "")
 
 
 def to_utf8(col: Column) -> Column:

@@ -49,7 +49,7 @@ def elastic_net_grid(estimator: LinearRegression, reg=(0.01, 0.1), mix=(0.0, 0.5
 
 
 def forest_regressor(label: str, seed: int = SEED, **params) -> RandomForestRegressor:
-    return RandomForestRegressor(labelCol=label, seed=seed, maxMemoryInMB=512, **params)
+    return RandomForestRegressor(labelCol=label, seed=seed, maxMemoryInMB=512, cacheNodeIds=True, **params)
 
 
 def forest_grid(estimator, trees=(50, 100), depth=(5, 10)) -> list:
@@ -58,7 +58,7 @@ def forest_grid(estimator, trees=(50, 100), depth=(5, 10)) -> list:
 
 def forest_classifier(label: str, trees: int = 100, depth: int = 10, seed: int = SEED) -> RandomForestClassifier:
     """Depth is explicit: Spark's default of 5 is shallow and 30 is its limit."""
-    return RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, maxMemoryInMB=512)
+    return RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, maxMemoryInMB=512, cacheNodeIds=True)
 
 
 def logistic(label: str, rows: int, inverse_penalty: float = 1.0, max_iter: int = 1000) -> LogisticRegression:

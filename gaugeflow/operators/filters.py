@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -21,16 +23,12 @@ def require_target(df: DataFrame, target: str, observation: Observation | None =
 
 def drop_blank_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop rows in which every (listed) column is null."""
-    columns = subset or df.columns
-    return df.filter(F.coalesce(*[F.col(quoted(c)).cast("string") for c in columns]).isNotNull())
+    return df.filter(reduce(or_, [F.col(quoted(c)).isNotNull() for c in subset or df.columns]))
 
 
 def drop_incomplete_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """Drop rows with a null in any listed column."""
-    condition = F.lit(True)
-    for name in subset:
-        condition = condition & F.col(quoted(name)).isNotNull()
-    return df.filter(condition)
+    return df.filter(reduce(and_, [F.col(quoted(c)).isNotNull() for c in subset], F.lit(True)))
 
 
 def above(df: DataFrame, column: str, limit: float) -> DataFrame:

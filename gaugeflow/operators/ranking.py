@@ -40,8 +40,8 @@ def top_n(df: DataFrame, order_by: Sequence[Column], n: int) -> DataFrame:
 def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row per key by ``order`` (columns compared in turn).
 
-    A ``max`` over a struct, so every task first reduces to one row per key: no sort, no window,
-    and a key holding a third of the rows costs no more than any other.
+    A mergeable aggregate, not a window: every task reduces its own rows to one per key before the
+    shuffle, so a key holding a third of the rows puts no more on the network than any other.
     """
     return _extreme_per(df, keys, order, F.max_by)
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens
+from ..functions.text import pieces
 
 
 def explode_tokens(df: DataFrame, text: str, *keep: str) -> DataFrame:
-    return df.select(*keep, F.explode(tokens(F.col(text))).alias("token"))
+    """One row per token. Empty pieces go after the explode, where the test is compiled."""
+    return df.select(*keep, F.explode(pieces(F.col(text))).alias("token")).filter(F.col("token") != "")
 
 
 def token_frequency(df: DataFrame, text: str) -> DataFrame:

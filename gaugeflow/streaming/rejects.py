@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.records import split_malformed
+from ..sources.records import is_malformed, parse_json
 
 
 def route_malformed(
@@ -18,13 +19,14 @@ def route_malformed(
     """
 
     def write_both(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        judged = batch.withColumn("__bad", F.coalesce(is_malformed(F.col(column)), F.lit(False))).persist()
         try:
-            parsed, rejected = split_malformed(batch, column, schema, output)
-            parsed.write.mode("overwrite").parquet(f"{good_path}/batch_id={batch_id}")
-            rejected.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+            parsed = judged.filter(~F.col("__bad")).withColumn(output, parse_json(F.col(column), schema))
+            rejected = judged.filter("__bad")
+            parsed.drop("__bad").write.mode("overwrite").parquet(f"{good_path}/batch_id={batch_id}")
+            rejected.drop("__bad").write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
         finally:
-            batch.unpersist()
+            judged.unpersist()
 
     return (
         source.writeStream.foreachBatch(write_both)
