@@ -6,19 +6,22 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .schema import quoted
 
 
-def require_target(df: DataFrame, target: str, observation: Observation | None = None) -> DataFrame:
-    """Keep rows with a target. With an observation, ``rows_in`` and ``rows_kept`` are counted in the
-    same pass as the job that consumes the result, instead of by two extra jobs."""
-    column = F.col(quoted(target))
-    if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows_in"), F.count(column).alias("rows_kept"))
-    return df.filter(column.isNotNull())
+def require_target(df: DataFrame, target: str) -> DataFrame:
+    """Keep rows with a target."""
+    return df.filter(F.col(quoted(target)).isNotNull())
+
+
+def target_counts(df: DataFrame, target: str) -> DataFrame:
+    """``(rows_in, rows_kept, rows_dropped)`` of :func:`require_target`, from one aggregate that reads
+    only the target column."""
+    rows_in, kept = F.count(F.lit(1)), F.count(F.col(quoted(target)))
+    return df.agg(rows_in.alias("rows_in"), kept.alias("rows_kept"), (rows_in - kept).alias("rows_dropped"))
 
 
 def drop_blank_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -47,9 +47,10 @@ def score_readings(
     co, no2, t, rh = F.col("co_ugm3"), F.col("no2_ugm3"), F.col("temperature"), F.col("humidity")
 
     def apply(frame, name, values, output):
-        named = dict(zip(inputs[name], values))
-        scored = models[name].transform(frame.withColumns(named))
-        return scored.select(*frame.columns, F.col("prediction").alias(output))
+        # The reading travels as one struct, so a feature may share a name with a reading field.
+        named = [v.alias(n) for n, v in zip(inputs[name], values, strict=True)]
+        scored = models[name].transform(frame.select(F.struct("*").alias("__reading"), *named))
+        return scored.select("__reading.*", F.col("prediction").alias(output))
 
     df = apply(df, "regression", list(scoring.benzene_features(co, no2, t, rh).values()), "__benzene")
     df = df.withColumn("__benzene", F.greatest(F.lit(0.0), F.col("__benzene")))

@@ -6,9 +6,8 @@ import time
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .. import presets
 from ..learning import clustering, comparison, pipelines, split
@@ -48,8 +47,7 @@ def train_and_compare(
     rows = split.with_fold(df.select(key, target, *features), key, folds).persist()
     try:
         train, test = split.hash_split(rows, key)
-        is_train = split.hash_bucket(F.col(key), 100) < 80
-        total, n_train = rows.agg(F.count(F.lit(1)), F.count_if(is_train)).first()
+        total, n_train = rows.count(), train.count()
 
         net, trees = pipelines.elastic_net(target), pipelines.forest_regressor(target)
         setups = {
@@ -117,8 +115,6 @@ def train_service_models(
 
     Each uses the rows that are complete in its own columns.
     """
-    from pyspark.ml import Pipeline
-
     spark = df.sparkSession
     models, record = {}, {}
 

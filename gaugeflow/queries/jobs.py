@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import presets
-from ..learning import comparison
+from ..learning import comparison, pipelines
 from ..plans import clean, explore, predict, report, train
 from ..session import scratch_dir
 from ..sources.delimited import read_decimal_comma, read_delimited, write_csv
@@ -129,8 +128,6 @@ def j4_score(spark, sf):
        SELECT l_orderkey, l_linenumber, l_extendedprice, round(a * l_quantity + b, 3) AS prediction FROM lineitem, m""",
 )
 def j5(spark, sf):
-    from ..learning import pipelines
-
     out = scratch_dir(spark, "j5")
     lines = table(spark, sf, "lineitem")
     model = pipelines.pipeline(["l_quantity"], pipelines.least_squares("l_extendedprice")).fit(lines)

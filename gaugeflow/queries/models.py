@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from ..functions.arrays import nearest_centre
 from ..functions.labels import lookup
 from ..learning import clustering, comparison, pipelines, scaling, split
 from ..operators import filters, scoring, stats
+from ..operators.quality import binarise_by_median
 from ..plans import predict
 from ..session import scratch_dir
 from .aggregates import predicted_prices
@@ -102,7 +104,7 @@ def _channels(spark, sf):
 @query("l6_forest_regression")
 def l6(spark, sf):
     forest = pipelines.forest_regressor("error", numTrees=50, maxDepth=5)
-    train, test = split.hash_split(_channels(spark, sf).persist(), "reading_id")
+    train, test = split.hash_split(_channels(spark, sf), "reading_id")
     model = pipelines.pipeline(CHANNELS[:4], forest).fit(train)
     return model.transform(test).select("reading_id", "error", F.round("prediction", 4).alias("prediction"))
 
@@ -152,10 +154,7 @@ def l10_one(spark, sf):
 @query("l11_pca")
 def l11(spark, sf):
     wide = pipelines.with_features(table(spark, sf, "embeddings"), "embedding", DIMS)
-    prepared = pipelines.pipeline(DIMS, pipelines.least_squares("label")).getStages()[:2]
-    from pyspark.ml import Pipeline
-
-    scaled = Pipeline(stages=prepared).fit(wide).transform(wide)
+    scaled = Pipeline(stages=[pipelines.assembler(DIMS), pipelines.scaler()]).fit(wide).transform(wide)
     return rounded(clustering.project_pca(scaled).select("vec_id", "pc1", "pc2"), "pc1", "pc2", digits=4)
 
 
@@ -296,8 +295,6 @@ def h6(spark, sf):
 
 @query("h3_co_class_by_model")
 def h3(spark, sf):
-    from ..operators.quality import binarise_by_median
-
     rows = _channels(spark, sf)
     labelled, _ = binarise_by_median(rows, "error", "high")
     train, test = split.hash_split(labelled, "reading_id")

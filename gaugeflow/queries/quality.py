@@ -108,7 +108,7 @@ def m8(spark, sf):
 
 @query(
     "m9_rush_hour_flag",
-    """SELECT event_id, CAST(hour(ts) BETWEEN 7 AND 9 OR hour(ts) BETWEEN 17 AND 19 AS INTEGER) AS pipeline,
+    """SELECT event_id, CAST(hour(ts) BETWEEN 7 AND 9 OR hour(ts) BETWEEN 17 AND 19 AS INTEGER) AS batch,
        CAST(hour(ts) BETWEEN 8 AND 10 OR hour(ts) BETWEEN 17 AND 19 AS INTEGER) AS service,
        CAST(hour(ts) BETWEEN 7 AND 9 OR hour(ts) BETWEEN 17 AND 19 AS INTEGER) AS panel FROM events""",
 )
@@ -116,7 +116,7 @@ def m9(spark, sf):
     hour = F.hour("ts")
     return table(spark, sf, "events").select(
         "event_id",
-        clock.rush_flag(hour, presets.RUSH_PIPELINE).alias("pipeline"),
+        clock.rush_flag(hour, presets.RUSH_PIPELINE).alias("batch"),
         clock.rush_flag(hour, presets.RUSH_SERVICE).alias("service"),
         clock.rush_flag(hour, presets.RUSH_PANEL).alias("panel"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import presets
+from ..functions.numbers import display_value, round_half_even
 from ..operators import quality, scoring
 from .registry import WEEKLY, query, table, weekly
 from .scalars import HUMIDITY_SQL
@@ -28,8 +29,6 @@ def _score():
 
 @query("h1_health_score", f"WITH {SCORED} SELECT reading_id, round(score, 6) AS score, CAST(printf('%.1f', score) AS DOUBLE) AS shown FROM scored")
 def h1(spark, sf):
-    from ..functions.numbers import round_half_even
-
     return _filled(spark, sf).select("reading_id", F.round(_score(), 6).alias("score"), round_half_even(_score(), 1).alias("shown"))
 
 
@@ -101,8 +100,6 @@ def h10(spark, sf):
 
 @query("h11_display_value", "SELECT event_id, CASE WHEN value < 10 THEN printf('%.2f', value) ELSE CAST(CAST(floor(value + 0.5) AS BIGINT) AS VARCHAR) END AS shown FROM events")
 def h11(spark, sf):
-    from ..functions.numbers import display_value
-
     return table(spark, sf, "events").select("event_id", display_value(F.col("value")).alias("shown"))
 
 

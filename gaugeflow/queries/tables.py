@@ -117,6 +117,14 @@ def f1(spark, sf):
     return rounded(filters.require_target(weekly(spark, sf), "click").select("reading_id", "click"), "click", digits=8)
 
 
+@query(
+    "f1_target_counts",
+    f"WITH {WEEKLY} SELECT count(*) AS rows_in, count(click) AS rows_kept, count(*) - count(click) AS rows_dropped FROM weekly",
+)
+def f1_counts(spark, sf):
+    return filters.target_counts(weekly(spark, sf), "click")
+
+
 BLANKS_SQL = f"""WITH {DAILY} SELECT reading_id, {rounded_sql(CHANNELS[:2], 8)} FROM daily WHERE click IS NOT NULL OR view IS NOT NULL"""
 
 

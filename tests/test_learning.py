@@ -96,19 +96,19 @@ def test_cross_validation_is_repeatable_after_repartition(sample):
 
 
 def test_service_models_and_full_record(spark, sample, tmp_path):
-    df = sample.withColumns({n: F.col("a") * i for i, n in enumerate(["f1", "f2", "f3", "f4", "f5", "f6", "f7"], 1)})
+    df = sample.withColumns({n: F.col("a") * i for i, n in enumerate(["f1", "f2", "hour", "f4", "f5", "f6", "f7"], 1)})
     models, record = train.train_service_models(
-        df, "key", (["a", "b", "c", "f1", "f2", "f3"], "y"), (["a", "b", "c", "f1"], "y"), (["a", "b", "c", "f4", "f5", "f6", "f7"], "y"),
+        df, "key", (["a", "b", "c", "f1", "f2", "hour"], "y"), (["a", "b", "c", "f1"], "y"), (["a", "b", "c", "f4", "f5", "f6", "f7"], "y"),
         k=3, trees=5, depth=4, model_path=str(tmp_path / "m"), metadata_path=str(tmp_path / "meta"))
     assert set(record["clustering"]["internal_label_map"].values()) == {0, 1, 2}
     assert record["classification"]["accuracy"] > 0.9
     loaded = {n: pipelines.load_model(str(tmp_path / "m" / n)) for n in models}
     inputs = {n: record[n]["features"] for n in models}
-    readings = spark.createDataFrame([(1, 20.0), (2, 200.0)], "id int, aqi double")
+    readings = spark.createDataFrame([(1, 20.0, 12), (2, 200.0, 8)], "id int, aqi double, hour int")
     scored = predict.score_readings(readings, loaded, record["clustering"]["internal_label_map"], inputs)
     got = {r["id"]: r for r in scored.collect()}
     assert got[2]["cluster"]["label"] == "Severe" and got[1]["benzene"] >= 0
-    assert got[1]["health_risk"]["score"] == 0.0 and got[1]["rush_hour"]["label"] == "Off-Peak"
+    assert got[1]["health_risk"]["score"] == 0.0 and (got[1]["rush_hour"]["label"], got[2]["rush_hour"]["label"]) == ("Off-Peak", "Rush Hour")
 
 
 def test_elbow_and_cluster_study(spark, sample):

@@ -7,7 +7,6 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from gaugeflow.operators import changes, filters, quality, ranking, schema, stats, tokens
@@ -90,10 +89,9 @@ def test_number_rows(spark, per_task):
     assert got == {k: i + 1 for i, k in enumerate(sorted(ids))}
 
 
-def test_observation_counts(spark, people):
-    seen = Observation()
-    kept = filters.require_target(people, "name", seen)
-    assert kept.count() == 5 and seen.get == {"rows_in": 6, "rows_kept": 5}
+def test_target_counts(people):
+    assert filters.require_target(people, "name").count() == 5
+    assert tuple(filters.target_counts(people, "name").first()) == (6, 5, 1)
 
 
 def test_schema_operators(spark, rows):
