@@ -7,18 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_RANGES = 2_000
-
+from ..session import materialise
 
 def rank_groups(df: DataFrame, group: str, value: str) -> DataFrame:
     """``(group, mean_value, rank)``: groups ranked 0.. by ascending mean, ties by group key.
 
-    The window runs over the aggregated rows, one per group. Groups are meant to be few, such as
-    cluster ids; for a key with very many values use :func:`number_rows` on the aggregate.
+    Works for any number of groups: the aggregated rows are numbered range by range.
     """
     means = df.groupBy(group).agg(F.avg(value).alias("mean_value"))
-    order = Window.orderBy(F.col("mean_value").asc(), F.col(group).asc())
-    return means.withColumn("rank", (F.row_number().over(order) - 1).cast("int"))
+    return number_rows(means, ["mean_value", group], "__n").withColumn("rank", (F.col("__n") - 1).cast("int")).drop("__n")
 
 
 def argsort_descending(df: DataFrame, array_column: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -58,31 +55,25 @@ def _extreme_per(df, keys, order, pick) -> DataFrame:
     return df.groupBy(*keys).agg(picked).select(*keys, "picked.*").select(*names)
 
 
-def number_rows(df: DataFrame, order: str, output: str, rows_per_task: int = 1_000_000) -> DataFrame:
-    """Consecutive numbers 1.. in the order of a unique numeric column, without a global window.
+def number_rows(df: DataFrame, order: str | Sequence[str], output: str) -> DataFrame:
+    """Consecutive numbers 1.. in the order of one or more columns of any orderable type, nulls first.
 
-    Rows are put into ranges by percentile boundaries, numbered within their range, and shifted by
-    the size of the ranges before them. Only the range sizes (one row per range) meet in one task.
-    Rows with a null ``order`` come first.
+    One path at every size: rows are dealt into ranges of ``order``, sorted where they lie, written to
+    shared scratch space with their place in the range, and shifted by the size of the ranges before
+    them. Only the range sizes (one row per task) meet in one window. A value that fills a range by
+    itself is a task of its own at worst when it is the whole order; add a second column to split it.
     """
-    n = df.count()
-    if n <= rows_per_task:
-        position = F.row_number().over(Window.orderBy(F.col(order).asc_nulls_first()))
-        return df.withColumn(output, position.cast("long"))
-    parts = min(-(-n // rows_per_task), MAX_RANGES)
-    probes = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    cuts = df.agg(F.percentile_approx(order, probes, F.lit(20 * parts))).first()[0]
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-    part = F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col(order))), F.lit(0))
-    ranged = df.withColumn("__part", part)
-    sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    columns = [F.col(c).asc_nulls_first() for c in ([order] if isinstance(order, str) else order)]
+    ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    # the high bits hold the partition, the low 33 bits the place within it
+    placed = materialise(ranged.withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumn("__part", F.shiftright("__at", 33))
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(F.col(order).asc_nulls_first()))
+    within = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(1)
     return (
-        ranged.withColumn("__row", within)
-        .join(offsets, "__part")
-        .withColumn(output, (F.col("__row") + F.col("__offset")).cast("long"))
-        .drop("__part", "__row", "__offset")
+        placed.join(offsets, "__part")
+        .withColumn(output, (within + F.col("__offset")).cast("long"))
+        .drop("__part", "__at", "__offset")
     )
-

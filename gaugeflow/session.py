@@ -28,7 +28,8 @@ def get_session(app_name: str = "gaugeflow", master: str | None = None, **conf:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder path for intermediate tables, under the cluster's shared checkpoint folder.
+    """A fresh folder path for intermediate tables, under the cluster's shared checkpoint folder. It is
+    deleted when the driver ends.
 
     ``spark.checkpoint.dir`` names the shared folder. A machine-local temporary folder is used only
     in local mode with the setting absent; on a cluster a missing setting is an error, because a
@@ -39,7 +40,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="run-")
-    return f"{base.rstrip('/')}/gaugeflow-{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/gaugeflow-{label}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

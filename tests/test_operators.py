@@ -81,12 +81,20 @@ def test_median_with_hot_value(spark):
     assert exact_median(spark.createDataFrame([], "v double"), "v") is None
 
 
-@pytest.mark.parametrize("per_task", [7, 100, 10**6])
-def test_number_rows(spark, per_task):
+@pytest.mark.parametrize("kind", ["long", "string", "timestamp", "double"])
+def test_number_rows(spark, kind):
     ids = random.Random(1).sample(range(10**6), 500)
-    df = spark.createDataFrame([(i,) for i in ids], "k long").repartition(5)
-    got = {r["k"]: r["n"] for r in ranking.number_rows(df, "k", "n", per_task).collect()}
-    assert got == {k: i + 1 for i, k in enumerate(sorted(ids))}
+    df = spark.createDataFrame([(i,) for i in ids] + [(None,)], "k long").withColumn("o", F.col("k").cast(kind)).repartition(5)
+    numbered = ranking.number_rows(df, "o", "n").collect()
+    order = sorted(ids, key=str if kind == "string" else int)
+    assert {r["k"]: r["n"] for r in numbered} == {None: 1} | {k: i + 2 for i, k in enumerate(order)}
+
+
+def test_number_rows_ties_and_empty(spark):
+    df = spark.range(300).select((F.col("id") % 3).alias("a"), F.col("id").alias("b"))
+    got = {(r["a"], r["b"]): r["n"] for r in ranking.number_rows(df, ["a", "b"], "n").collect()}
+    assert got == {k: i + 1 for i, k in enumerate(sorted(got))}
+    assert ranking.number_rows(df.limit(0), "a", "n").count() == 0
 
 
 def test_target_counts(people):
