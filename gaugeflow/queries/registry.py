@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 
 class Query(NamedTuple):
     run: Callable[[SparkSession, str], DataFrame]
@@ -30,6 +32,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,26 @@ def get_session(app_name: str = "gaugeflow", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application, as ``--py-files`` would.
+
+    Without it a worker finds the package only if its own path or working folder has it.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_gaugeflow_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="run-"), "gaugeflow.zip")  # Spark serves it from the driver
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("gaugeflow", os.path.relpath(path, package)))
+    context.addPyFile(archive)
+    context._gaugeflow_shipped = True
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path for intermediate tables, under the cluster's shared checkpoint folder. It is
     deleted when the driver ends.
