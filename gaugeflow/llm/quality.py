@@ -17,7 +17,7 @@ BITS = 18
 #: Labelled rows that the model is fitted on at most (those with the smallest hash of their key).
 MAX_TRAINING_ROWS = 16_000
 #: Learners that follow the leader side by side; their weights are averaged after each round.
-SHARDS, ROUNDS = 8, 3
+SHARDS, ROUNDS = 4, 3
 
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[97:123], _CLASS[65:91], _CLASS[48:58], _CLASS[128:] = ord("a"), ord("A"), ord("0"), ord("a")
@@ -59,7 +59,7 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[n
 class Leader:
     """Follow-the-regularised-leader with per-coordinate rates and L1/L2 penalties."""
 
-    def __init__(self, bits: int, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 0.1):
+    def __init__(self, bits: int, alpha: float = 5.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.0002):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(1 << bits), np.zeros(1 << bits)
 
