@@ -22,7 +22,7 @@ PARAGRAPH = r"[^\n.!?]{1,96}+[.!?]*+|[.!?]++"
 #: Cells per table of the printed fingerprint; a retry has so many times as many.
 CELLS, LARGER = 12, 8
 #: Times that each of the three tables is looked through before a retry.
-TURNS = 3
+TURNS = 2
 
 _LEFT, _TOTAL = -1, -2  # pseudo cells: digests found, and how many digests both sides have
 

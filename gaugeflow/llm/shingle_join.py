@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import number_rows
 from ..session import materialise
-from .common import read, whole_text
+from .common import read, runs, whole_text
 from .components import components
 from .hashing import LOWER, flat, mix, sequence_hash, slices, span_hashes, words
 
@@ -116,16 +116,18 @@ def _signatures(width: int):
     def run(batches):
         for batch in batches:
             sets = _each_set(batch, "text", width)
-            rows = [(len(own), _set_hash(own, 1), _set_hash(own, 2)) for _, own in sets]
+            rows = [(len(own), _set_hash(own, 1), _set_hash(own, 2), points([own])[0].tobytes()) for _, own in sets]
             if rows:
                 kept = [batch.column("doc_id"), batch.column("hash")]
-                yield pa.record_batch([*kept, *[pa.array(c, pa.int64()) for c in zip(*rows)]], names=["doc_id", "hash", "n_shingles", "s1", "s2"])
+                made = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 3 + [pa.binary()])]
+                yield pa.record_batch([*kept, *made], names=["doc_id", "hash", "n_shingles", "s1", "s2", "point"])
 
     return run
 
 
-def _keys(width: int, percent: int):
-    """(key, node) of every distinct set of a batch."""
+def _keys(width: int, percent: int, hot: frozenset[int] = frozenset()):
+    """(key, salt, node) of every distinct set of a batch; keys in ``hot`` are dealt over SALTS salts."""
+    many = np.array(sorted(hot), np.int64)
 
     def run(batches):
         for batch in batches:
@@ -137,41 +139,52 @@ def _keys(width: int, percent: int):
                     keys.append(routing_keys(own, percent))
                     nodes.append(np.full(len(keys[-1]), node, np.int64))
             if keys:
-                yield pa.record_batch([pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(nodes))], names=["key", "node"])
+                key, node = np.concatenate(keys).astype(np.int64), np.concatenate(nodes)
+                salt = np.where(np.isin(key, many), node % SALTS, 0)
+                yield pa.record_batch([pa.array(key), pa.array(salt), pa.array(node)], names=["key", "salt", "node"])
 
     return run
 
 
-def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges between neighbours with the same key in a stream sorted by (key, node). The first and last row
-    of the stream are given as well (with ``u`` null), as their key may go on in other streams."""
-    last = None
-    for batch in batches:
-        key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
-        if not len(key):
-            continue
-        out = [[], [], []]
-        if last is None:
-            out = [[key[:1]], [node[:1]], [np.zeros(1, bool)]]
-        else:
-            key, node = np.concatenate([[last[0]], key]), np.concatenate([[last[1]], node])
-        same = (key[1:] == key[:-1]) & (node[1:] != node[:-1])
-        pairs = np.unique(np.stack([node[:-1][same], node[1:][same]]), axis=1)
-        names = ["key", "u", "v"]
-        yield pa.record_batch([pa.array(np.zeros(pairs.shape[1], np.int64)), pa.array(pairs[0]), pa.array(pairs[1])], names=names)
-        if out[0]:
-            yield pa.record_batch([pa.array(out[0][0]), pa.nulls(1, pa.int64()), pa.array(out[1][0])], names=names)
-        last = (key[-1], node[-1])
-    if last is not None:
-        yield pa.record_batch([pa.array([last[0]], pa.int64()), pa.nulls(1, pa.int64()), pa.array([last[1]], pa.int64())], names=["key", "u", "v"])
+def _chain(hot: frozenset[int]):
+    """Edges between neighbours with the same key and salt in a stream sorted by (key, salt, node). The first
+    row of each salt of a hot key is given as well (``u`` null), as the key goes on in other salts."""
+    many = np.array(sorted(hot), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = np.zeros((3, 0), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            fresh = np.stack([batch.column(c).to_numpy() for c in ("key", "salt", "node")])
+            rows = np.concatenate([last, fresh], axis=1)
+            run_on = (rows[:2, 1:] == rows[:2, :-1]).all(0)
+            same = run_on & (rows[2, 1:] != rows[2, :-1])
+            pairs = np.unique(np.stack([rows[2, :-1][same], rows[2, 1:][same]]), axis=1)
+            opens = rows[:, 1:][:, ~run_on] if last.shape[1] else np.concatenate([rows[:, :1], rows[:, 1:][:, ~run_on]], axis=1)
+            opens = opens[:, np.isin(opens[0], many)]
+            key = np.concatenate([np.zeros(pairs.shape[1], np.int64), opens[0]])
+            u = pa.array(np.concatenate([pairs[0], opens[2]]), mask=np.arange(len(key)) >= pairs.shape[1])
+            yield pa.record_batch([pa.array(key), u, pa.array(np.concatenate([pairs[1], opens[2]]))], names=["key", "u", "v"])
+            last = rows[:, -1:]
+
+    return run
+
+
+#: Parts that the nodes of a hot key are dealt over; one row in so many is looked at to find hot keys, and
+#: so many of them are hot at least. These three only balance the load.
+SALTS, LOOK, HOT = 64, 32, 32
 
 
 def candidate_edges(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """``(u, v)`` that connect all sets sharing a routing key. Sorting by range of (key, node) splits a key
-    that very many sets share over several tasks."""
-    keys = texts.select("text").mapInArrow(_keys(width, percent), "key long, node long")
-    found = materialise(keys.repartitionByRange("key", "node").sortWithinPartitions("key", "node").mapInArrow(_chain, "key long, u long, v long").distinct(), "chains")
-    rims = found.where("u is null").groupBy("key").agg(F.min("v").alias("u"))  # two rows per task
+    """``(u, v)`` that connect all sets sharing a routing key."""
+    few = texts.where(F.pmod("hash", F.lit(LOOK)) == 0).select("text").mapInArrow(_keys(width, percent), "key long, salt long, node long")
+    often = few.groupBy("key").count().where(F.col("count") >= HOT).orderBy(F.desc("count")).limit(10_000).collect()
+    hot = frozenset(r["key"] for r in often)
+    keys = texts.select("text").mapInArrow(_keys(width, percent, hot), "key long, salt long, node long")
+    met = keys.repartition("key", "salt").sortWithinPartitions("key", "salt", "node")
+    found = materialise(met.mapInArrow(_chain(hot), "key long, u long, v long").distinct(), "chains")
+    rims = found.where("u is null").groupBy("key").agg(F.min("v").alias("u"))
     across = found.where("u is null").select("key", "v").join(rims, "key").select("u", "v")
     return found.where("u is not null").select("u", "v").union(across).where("u != v")
 
@@ -283,6 +296,42 @@ def _join_leaves(width: int, percent: int):
     return run
 
 
+#: Points in a leaf while only the bound is looked at.
+POINTS = 1024
+
+
+def _leaves(members: DataFrame, order: list[str], size: int) -> DataFrame:
+    """Rows of clusters with two members at least, with ``rank`` (unique), ``leaf`` and the cluster's ``last``."""
+    ordered = number_rows(members, ["cluster", *order], "rank")
+    starts = ordered.groupBy("cluster").agg(F.min("rank").alias("from"), F.count(F.lit(1)).alias("members"))
+    placed = ordered.join(starts, "cluster").where("members > 1")
+    at = lambda c: F.floor(c / size).cast("long")
+    return placed.withColumns({"leaf": at(F.col("rank") - F.col("from")), "last": at(F.col("members") - 1)}).drop("from", "members")
+
+
+def _point_links(picked: DataFrame, percent: int) -> DataFrame:
+    """``(u, v)``: a spanning forest per task of the pairs of a cluster that the bound lets through."""
+    sizes = picked.groupBy("cluster", "leaf").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    other = sizes.select("cluster", F.col("leaf").alias("b"), F.col("low").alias("o_low"))
+    pairs = sizes.join(other, "cluster").where(f"b >= leaf and 100 * high >= {percent} * o_low").select("cluster", F.col("leaf").alias("a"), "b")
+    sides = pairs.select("cluster", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("leaf"))
+    tasks = picked.join(sides, ["cluster", "leaf"]).select(F.xxhash64("cluster", "a", "b").alias("task"), "node", "n", "point")
+
+    def run(batches):
+        for _, rows in runs(batches, "task"):
+            if rows.num_rows < 2:
+                continue
+            node = rows.column("node").to_numpy()
+            vectors = np.frombuffer(b"".join(rows.column("point").to_pylist()), np.int32).reshape(len(node), -1)
+            forest, out = Forest(len(node)), []
+            for i, js in tree_pairs(vectors, rows.column("n").to_numpy(), percent):
+                out += [(int(node[i]), int(node[j])) for j in js if forest.unite(i, int(j))]
+            if out:
+                yield _edges(out)
+
+    return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(run, "u long, v long")
+
+
 def _edges(out):
     return pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], names=["u", "v"])
 
@@ -320,23 +369,26 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     that repeat a key are rows like any other; a null key never names a component that has another.
     """
     docs = df.select(F.col(key).cast("long").alias("doc_id"), whole_text(text).alias("text")).withColumn("hash", F.xxhash64("text"))
-    signed = materialise(docs.mapInArrow(_signatures(width), "doc_id long, hash long, n_shingles long, s1 long, s2 long"), "shingles")
+    signed = materialise(docs.mapInArrow(_signatures(width), "doc_id long, hash long, n_shingles long, s1 long, s2 long, point binary"), "shingles")
     classes = signed.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"))
-    edges = candidate_edges(docs, width, percent)
-    clusters = components(edges)
-    # distinct sets of a cluster in the order of the tree's first dimension, cut into leaves
+    clusters = components(candidate_edges(docs, width, percent))
     members = classes.join(clusters, classes["s1"] == clusters["node"]).select(F.col("component").alias("cluster"), "n", "s1", "s2", "least")
-    ordered = number_rows(members, ["cluster", "n", "s1", "s2"], "rank")
-    starts = ordered.groupBy("cluster").agg(F.min("rank").alias("from"), F.count(F.lit(1)).alias("members"))
-    ordered = ordered.join(starts, "cluster").where("members > 1")
-    ordered = materialise(ordered.select("cluster", F.floor((F.col("rank") - F.col("from")) / leaf).cast("long").alias("leaf"), F.floor((F.col("members") - 1) / leaf).cast("long").alias("last"), F.col("rank").alias("node"), "s1", "s2", "least"), "leaves")
-    # one text per distinct set, read again from the source
-    chosen = signed.join(ordered, ["s1", "s2"]).groupBy("node").agg(F.min(F.struct("doc_id", "hash")).alias("pick"), F.first("cluster").alias("cluster"), F.first("leaf").alias("leaf"), F.first("last").alias("last"))
-    chosen = chosen.select("node", "cluster", "leaf", "last", F.col("pick.doc_id").alias("__id"), F.col("pick.hash").alias("__hash"))
-    found = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["__id"]) & (docs["hash"] == chosen["__hash"])).select("node", "cluster", "leaf", "last", "text")
-    found = materialise(found.repartition("cluster", "leaf").sortWithinPartitions("cluster", "leaf"), "members")
-    # first the leaves themselves and their neighbours
-    turns = F.array_distinct(F.array(F.struct(F.col("leaf").alias("a"), F.col("leaf").alias("b")), F.struct(F.greatest(F.col("leaf") - 1, F.lit(0)).alias("a"), F.col("leaf").alias("b")), F.struct(F.col("leaf").alias("a"), F.least(F.col("leaf") + 1, F.col("last")).alias("b"))))
+    ordered = materialise(_leaves(members, ["n", "s1", "s2"], POINTS).withColumnRenamed("rank", "node"), "ordered")
+    # one row stands for each distinct set
+    pick = signed.join(ordered, ["s1", "s2"]).groupBy("node", "cluster", "leaf", "n").agg(F.min(F.struct("doc_id", "hash", "point")).alias("pick"))
+    picked = materialise(pick.select("node", "cluster", "leaf", "n", "pick.*"), "points")
+    near = components(materialise(_point_links(picked, percent), "near"))
+    # what the bound leaves together, in the order of the tree's first dimension, cut into leaves
+    tight = picked.join(near, "node").select(F.col("component").alias("cluster"), "node", "n", F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"))
+    tight = materialise(_leaves(tight, ["n", "node"], leaf), "leaves")
+    found = docs.join(tight, docs["doc_id"].eqNullSafe(tight["__id"]) & (docs["hash"] == tight["__hash"])).select("node", "cluster", "leaf", "last", "text")
+    found = materialise(found, "members")
+    # first each leaf with its neighbour
+    here, last = F.col("leaf"), F.col("last")
+    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    turns = F.when(last == 0, F.array(pair(here, here))).otherwise(
+        F.array_distinct(F.array(pair(F.greatest(here - 1, F.lit(0)), F.greatest(here, F.lit(1))), pair(F.least(here, last - 1), F.least(here + 1, last))))
+    )
     tasks = found.withColumn("comp", F.col("node")).withColumn("pair", F.explode(turns)).withColumn("task", F.struct("cluster", "pair.a", "pair.b"))
     links = materialise(_joined(tasks, width, percent), "links")
     whole = found.select("cluster", "leaf", "node", "last").where("last > 0")
