@@ -10,6 +10,10 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Spark's switch for giving up shuffle files at the end of an execution.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def get_session(app_name: str = "gaugeflow", master: str | None = None, **conf: str) -> SparkSession:
     """Build or fetch a session.
 
@@ -72,8 +76,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in shared scratch space and read it back.
 
     Cuts lineage in a way that survives executor loss; use it before several passes over an
-    expensive input that is too large to rely on caching.
+    expensive input that is too large to rely on caching. The shuffle files that led to the table are
+    given up as soon as it is written: nothing reads them again.
     """
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
