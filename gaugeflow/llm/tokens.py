@@ -25,7 +25,7 @@ _CUTS = {
 class Encoder:
     """Ids as ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` gives them."""
 
-    def __init__(self, path: str, held: int = 300_000):
+    def __init__(self, path: str, held: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
