@@ -116,7 +116,7 @@ def _signatures(width: int):
     def run(batches):
         for batch in batches:
             sets = _each_set(batch, "text", width)
-            rows = [(len(own), _set_hash(own, 1), _set_hash(own, 2), points([own])[0].tobytes()) for _, own in sets]
+            rows = [(len(own), _set_hash(own, 1), _set_hash(own, 2), fine_point(own).tobytes()) for _, own in sets]
             if rows:
                 kept = [batch.column("doc_id"), batch.column("hash")]
                 made = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 3 + [pa.binary()])]
@@ -207,6 +207,13 @@ class Forest:
         return True
 
 
+def fine_point(own: np.ndarray) -> np.ndarray:
+    """A point with a power of two of groups, so that about 4 to 8 shingles fall into each of them; adding
+    its halves gives the point with half as many groups."""
+    groups = max(GROUPS, 1 << max(0, (len(own) - 1).bit_length() - 3))
+    return np.bincount((own % np.uint64(groups)).astype(np.int64), minlength=groups).astype(np.int32)
+
+
 def points(sets: list[np.ndarray], groups: int = GROUPS) -> np.ndarray:
     out = np.zeros((len(sets), groups), np.int32)
     for i, own in enumerate(sets):
@@ -321,11 +328,17 @@ def _point_links(picked: DataFrame, percent: int) -> DataFrame:
         for _, rows in runs(batches, "task"):
             if rows.num_rows < 2:
                 continue
-            node = rows.column("node").to_numpy()
-            vectors = np.frombuffer(b"".join(rows.column("point").to_pylist()), np.int32).reshape(len(node), -1)
+            node, size = rows.column("node").to_numpy(), rows.column("n").to_numpy()
+            fine = [np.frombuffer(p, np.int32) for p in rows.column("point").to_pylist()]
+            groups = np.array([len(p) for p in fine])
             forest, out = Forest(len(node)), []
-            for i, js in tree_pairs(vectors, rows.column("n").to_numpy(), percent):
-                out += [(int(node[i]), int(node[j])) for j in js if forest.unite(i, int(j))]
+            for g in np.unique(groups):  # partners have as many groups or twice as many
+                at = np.flatnonzero((groups == g) | (groups == 2 * g))
+                vectors = np.stack([fine[k] if groups[k] == g else fine[k][:g] + fine[k][g:] for k in at])
+                for i, js in tree_pairs(vectors, size[at], percent):
+                    for j in js[(groups[at[i]] == g) | (groups[at[js]] == g)]:
+                        if forest.unite(int(at[i]), int(at[j])):
+                            out.append((int(node[at[i]]), int(node[at[j]])))
             if out:
                 yield _edges(out)
 
