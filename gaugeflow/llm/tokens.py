@@ -25,7 +25,7 @@ _CUTS = {
 class Encoder:
     """Ids as ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` gives them."""
 
-    def __init__(self, path: str, held: int = 1_000_000):
+    def __init__(self, path: str, held: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
@@ -89,9 +89,7 @@ class Encoder:
             out[k] = ids
         distinct = set(words)
         new = distinct.difference(self.at)
-        if len(self.at) + len(new) > self.held:
-            self._clear()
-            new = distinct
+        keep, used = len(self.at) + len(new) <= self.held, self.used
         if new:
             self._learn(sorted(new))
         at = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
@@ -101,6 +99,10 @@ class Encoder:
         place = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])]
         for k, a, b in zip(plain, place[:-1], place[1:]):
             out[k] = flat[a:b]
+        if not keep:  # the words held first are the frequent ones and stay
+            for word in new:
+                del self.at[word]
+            self.used = used
         return out
 
 
