@@ -72,6 +72,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def write_table(df: DataFrame, path: str) -> None:
+    """Write Parquet and give up the shuffle files that led to it."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in shared scratch space and read it back.
 
@@ -79,11 +90,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     expensive input that is too large to rely on caching. The shuffle files that led to the table are
     given up as soon as it is written: nothing reads them again.
     """
-    spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch_dir(df.sparkSession, label)
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
