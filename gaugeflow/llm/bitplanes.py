@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import scratch_dir, write_table
 from .common import read, whole_text
 from .tokens import encoder, portions
 
@@ -91,7 +91,8 @@ def write_tokens(df: DataFrame, path: str, vocabulary: str, end: int, key: str =
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc()]
     spread = [order[0], F.xxhash64("text").asc()]
     order.insert(1, spread[1])
-    rows.repartitionByRange(*spread).sortWithinPartitions(*order).mapInArrow(_write(vocabulary, end, unit, size), _SCHEMA).write.parquet(path)
+    chunks = rows.repartitionByRange(*spread).sortWithinPartitions(*order).mapInArrow(_write(vocabulary, end, unit, size), _SCHEMA)
+    write_table(chunks, path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
