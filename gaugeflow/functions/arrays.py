@@ -8,8 +8,6 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MAX_CENTRE_CELLS = 1_000_000
-
 
 def array_of(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(v) for v in values])
@@ -58,16 +56,15 @@ def nearest_centre(vector: Column, centres: Sequence[Sequence[float]]) -> Column
     lowest number. Null for a null vector or one with a null element; a wrong length fails the job.
 
     Works on whole Arrow batches. Interpreted higher-order functions take several times as long, and
-    one compiled expression per coordinate exceeds what can be compiled. The centres travel with the
-    task, so there must be few of them: ``MAX_CENTRE_CELLS`` numbers at most.
+    one compiled expression per coordinate exceeds what can be compiled. The centres are a fitted model
+    that the driver holds; they go to each executor once, and a batch meets them one by one, so memory
+    does not grow with their number.
     """
     import numpy as np
 
     table = np.asarray(centres, dtype="float64")
     if table.ndim != 2 or not table.size:
         raise ValueError("need at least one centre, all of one length")
-    if table.size > MAX_CENTRE_CELLS:
-        raise ValueError("too many centres to ship to every task; join with a table of centres instead")
 
     @F.arrow_udf("struct<cluster: int, distance2: double>")
     def nearest(vectors: pa.Array) -> pa.Array:
@@ -77,9 +74,11 @@ def nearest_centre(vector: Column, centres: Sequence[Sequence[float]]) -> Column
             raise ValueError(f"vector length differs from the centre length {table.shape[1]}")
         cells = vectors.filter(pa.array(usable)).flatten().to_numpy(zero_copy_only=False)
         points = cells.astype("float64").reshape(-1, table.shape[1])
-        distances = np.stack([((points - centre) ** 2).sum(axis=1) for centre in table], axis=1)
-        best = distances.argmin(axis=1)
-        least = distances[np.arange(len(points)), best]
+        best, least = np.zeros(len(points), "int32"), ((points - table[0]) ** 2).sum(axis=1)
+        for number, centre in enumerate(table[1:], 1):
+            distance = ((points - centre) ** 2).sum(axis=1)
+            closer = distance < least
+            best[closer], least[closer] = number, distance[closer]
         cluster, distance2 = np.zeros(len(usable), "int32"), np.full(len(usable), np.nan)
         cluster[usable], distance2[usable] = best, least
         missing = np.isnan(distance2)

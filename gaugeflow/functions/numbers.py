@@ -40,7 +40,8 @@ def clamp(col: Column, low: float | None = None, high: float | None = None) -> C
     return col if out is None else out.otherwise(col)
 
 
-EXACT_LIMIT = 1e15
+#: From here on every double is a whole number.
+ALL_WHOLE = 2.0**52
 
 
 def _nearest_integer(x: Column, digits: int, ties: str) -> Column:
@@ -68,10 +69,34 @@ def _nearest_integer(x: Column, digits: int, ties: str) -> Column:
     return F.when(F.abs(x * scale - F.rint(x * scale)) != 0.5, F.rint(x * scale)).otherwise(rare)
 
 
+def _split_text(size: Column, digits: int, ties: str) -> Column:
+    """Decimal text of a number in ``[0, ALL_WHOLE)`` by its whole part and its fraction, both exact; right
+    even where ``size * 10**digits`` no longer shows halves."""
+
+    def settle(v: Column) -> Column:
+        whole = F.floor(v)
+        fraction = v - whole.cast("double")
+        if not digits:
+            up = (fraction > 0.5) | ((fraction == 0.5) & (F.lit(True) if ties == "up" else whole % 2 == 1))
+            return (whole + F.when(up, 1).otherwise(0)).cast("string")
+        units = _nearest_integer(fraction, digits, ties).cast("long")  # whole * 10**digits is even: ties hold
+        over = units == 10**digits
+        shown = F.when(over, 0).otherwise(units).cast("string")
+        return F.concat((whole + F.when(over, 1).otherwise(0)).cast("string"), F.lit("."), F.lpad(shown, digits, "0"))
+
+    return F.get(F.transform(F.array(size), settle), F.lit(0))
+
+
 def round_half_even(col: Column, digits: int) -> Column:
-    """Python's ``round``: nearest decimal to the exact binary value, exact ties to even."""
-    small = F.abs(col) < F.lit(EXACT_LIMIT / 10.0**digits)
-    return F.when(small, _nearest_integer(col, digits, "even") / F.lit(10.0**digits)).otherwise(col)
+    """Python's ``round`` for ``digits`` >= 0: nearest decimal to the exact binary value, exact ties to even."""
+    size = F.abs(col)
+    small = size < F.lit(ALL_WHOLE / 10.0**digits)
+    by_parts = _split_text(size, digits, "even").cast("double") * F.signum(col)
+    return (
+        F.when(small, _nearest_integer(col, digits, "even") / F.lit(10.0**digits))
+        .when(size < F.lit(ALL_WHOLE), by_parts)
+        .otherwise(col)
+    )
 
 
 def round_half_up_integer(col: Column) -> Column:
@@ -83,13 +108,21 @@ def fixed_text(col: Column, digits: int, ties: str = "up") -> Column:
     """Fixed-point text such as ``3.10``, correctly rounded on the exact binary value; null stays null.
 
     ``format_string`` alone rounds the shortest decimal text instead, which turns 30.95 (really
-    30.9499...) into 31.0 where the browser and Python show 30.9.
+    30.9499...) into 31.0 where the browser and Python show 30.9. It serves only numbers without a
+    fraction, NaN and infinity; from 2**63 on it fills up with zeros after the shortest digits.
     """
     size = F.abs(col)
+    sign = F.when(col < 0, F.lit("-")).otherwise(F.lit(""))
     nearest = _nearest_integer(size, digits, ties) / F.lit(10.0**digits)
-    text = F.concat(F.when(col < 0, F.lit("-")).otherwise(F.lit("")), nearest.cast(f"decimal(38,{digits})").cast("string"))
-    small = size < F.lit(EXACT_LIMIT / 10.0**digits)
-    return F.when(col.isNotNull(), F.when(small, text).otherwise(F.format_string(f"%.{digits}f", col)))
+    whole = size.try_cast("long").cast("string")
+    zeros = F.lit("." + "0" * digits if digits else "")
+    return F.when(
+        col.isNotNull(),
+        F.when(size < F.lit(ALL_WHOLE / 10.0**digits), F.concat(sign, nearest.cast(f"decimal(38,{digits})").cast("string")))
+        .when(size < F.lit(ALL_WHOLE), F.concat(sign, _split_text(size, digits, ties)))
+        .when(size < F.lit(2.0**63), F.concat(sign, whole, zeros))
+        .otherwise(F.format_string(f"%.{digits}f", col)),
+    )
 
 
 def percent_text(col: Column, digits: int = 1) -> Column:

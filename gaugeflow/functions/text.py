@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Between words of letters of any script.
+NO_LETTERS = r"[^\p{L}]+"
+
+
 def unicode_regex(pattern: str) -> str:
     """Make Java's classes Unicode-aware and ``.`` stop at newline only (it is ASCII by default)."""
     return f"(?dU){pattern}"
@@ -26,12 +30,12 @@ def split_text(col: Column, separator: str, index: int) -> Column:
     return F.split_part(col, F.lit(separator), F.lit(index))
 
 
-def pieces(col: Column, boundary: str = "[^a-z]+") -> Column:
+def pieces(col: Column, boundary: str = NO_LETTERS) -> Column:
     """Lower-cased text between ``boundary`` matches; the first and last piece may be empty."""
     return F.split(F.lower(col), boundary)
 
 
-def tokens(col: Column, boundary: str = "[^a-z]+") -> Column:
+def tokens(col: Column, boundary: str = NO_LETTERS) -> Column:
     """:func:`pieces` without the empty ones, as an array."""
     return F.array_remove(pieces(col, boundary), "")
 

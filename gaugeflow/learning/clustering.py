@@ -76,12 +76,11 @@ def project_pca(df: DataFrame, k: int = 2, features: str = "features") -> DataFr
 def name_clusters(df: DataFrame, cluster: str, value: str, names: dict[int, str]) -> DataFrame:
     """Add ``rank`` (0.. by ascending mean of ``value``) and ``state`` to rows with a cluster id.
 
-    The rank table has one row per cluster; the join broadcasts it if its measured size allows.
+    The ranks, one per cluster of a model, are one map from a scalar subquery, so rows stay where they
+    are however uneven the clusters.
     """
-    ranks = rank_groups(df, cluster, value).select(F.col(cluster).alias("__c"), "rank")
+    ranks = rank_groups(df, cluster, value).where(F.col(cluster).isNotNull())
+    by_cluster = ranks.agg(F.map_from_entries(F.collect_list(F.struct(cluster, "rank")))).scalar()
     fallback = F.concat(F.lit("Cluster "), F.col("rank").cast("string"))
-    return (
-        df.join(ranks, F.col(cluster) == F.col("__c"), "left")
-        .drop("__c")
-        .withColumn("state", lookup(F.col("rank"), names, fallback))
-    )
+    ranked = df.withColumn("rank", F.try_element_at(by_cluster, F.col(cluster)))
+    return ranked.withColumn("state", lookup(F.col("rank"), names, fallback))

@@ -66,7 +66,7 @@ def linear_estimate(
         if means is not None:
             value = value - F.lit(float(means[name]))
         if scales is not None:
-            value = value / F.lit(float(scales[name]))
+            value = value / F.lit(float(scales[name])) if scales[name] else F.lit(0.0)  # a constant feature
         out = out + F.lit(float(weight)) * value
     return numbers.clamp(out, low=0.0)
 

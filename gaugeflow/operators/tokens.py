@@ -35,11 +35,14 @@ def token_association(df: DataFrame, text: str, category: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     by_token = cells.groupBy("token").agg(F.sum("n").alias("token_n"))
-    by_category = cells.groupBy("category").agg(F.sum("n").alias("category_n"))
+    by_category = cells.where("category is not null").groupBy("category").agg(F.sum("n").alias("category_n"))
+    # few categories: their totals are one map, so cells are not shuffled on so uneven a key
+    totals = by_category.agg(F.map_from_entries(F.collect_list(F.struct("category", "category_n")))).scalar()
     everything = cells.agg(F.sum("n").alias("total")).scalar()
-    lift = F.col("n") * everything.cast("double") / (F.col("token_n").cast("double") * F.col("category_n"))
+    category_n = F.try_element_at(totals, F.col("category"))
+    lift = F.col("n") * everything.cast("double") / (F.col("token_n").cast("double") * category_n)
     return (
-        cells.join(by_token, "token")
-        .join(by_category, "category")
+        cells.where("category is not null")
+        .join(by_token, "token")
         .select("token", "category", "n", lift.alias("lift"), F.log2(lift).alias("pmi"))
     )

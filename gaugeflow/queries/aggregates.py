@@ -152,14 +152,14 @@ def a14(spark, sf):
     return a13(spark, sf).select("mse", "r2")
 
 
-@query("a16_token_frequency", "SELECT token, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS token FROM documents) WHERE token <> '' GROUP BY token")
+@query("a16_token_frequency", "SELECT token, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS token FROM documents) WHERE token <> '' GROUP BY token")
 def a16(spark, sf):
     return tokens.token_frequency(table(spark, sf, "documents"), "text")
 
 
 @query(
     "a17_token_association",
-    """WITH t AS (SELECT lang AS category, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS token FROM documents),
+    """WITH t AS (SELECT lang AS category, unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS token FROM documents),
        c AS (SELECT token, category, count(*) AS n FROM t WHERE token <> '' GROUP BY token, category),
        l AS (SELECT token, category, n, n * CAST(sum(n) OVER () AS DOUBLE) / (CAST(sum(n) OVER (PARTITION BY token) AS DOUBLE) * sum(n) OVER (PARTITION BY category)) AS lift FROM c)
        SELECT token, category, n, round(lift, 6) AS lift, round(log2(lift), 6) AS pmi FROM l""",

@@ -30,7 +30,7 @@ def w3(spark, sf):
 
 @query(
     "w4_top_tokens",
-    "SELECT token, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS token FROM documents) WHERE token <> '' GROUP BY token ORDER BY n DESC, token LIMIT 25",
+    "SELECT token, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS token FROM documents) WHERE token <> '' GROUP BY token ORDER BY n DESC, token LIMIT 25",
 )
 def w4(spark, sf):
     return tokens.top_tokens(table(spark, sf, "documents"), "text", 25)

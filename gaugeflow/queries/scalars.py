@@ -140,21 +140,23 @@ def x13(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.round(value, 6).alias("humidity"))
 
 
-@query("x14_round_half_even", "SELECT l_orderkey, l_linenumber, CAST(printf('%.2f', sqrt(l_extendedprice)) AS DOUBLE) AS root, CAST(printf('%.2f', l_quantity * l_discount * 0.5) AS DOUBLE) AS near_ties, round_even(l_quantity / 2, 0) AS half FROM lineitem")
+@query("x14_round_half_even", "SELECT l_orderkey, l_linenumber, CAST(printf('%.2f', sqrt(l_extendedprice)) AS DOUBLE) AS root, CAST(printf('%.2f', l_quantity * l_discount * 0.5) AS DOUBLE) AS near_ties, round_even(l_quantity / 2, 0) AS half, CAST(printf('%.2f', l_extendedprice * pow(10, 8 + l_linenumber % 4) / 8.5) AS DOUBLE) AS large FROM lineitem")
 def x14(spark, sf):
     return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber",
         numbers.round_half_even(F.sqrt("l_extendedprice"), 2).alias("root"),
         numbers.round_half_even(F.col("l_quantity") * F.col("l_discount") * 0.5, 2).alias("near_ties"),
         numbers.round_half_even(F.col("l_quantity") / 2, 0).alias("half"),
+        numbers.round_half_even(F.col("l_extendedprice") * F.pow(F.lit(10.0), 8 + F.col("l_linenumber") % 4) / 8.5, 2).alias("large"),
     )
 
 
-@query("x15_browser_rounding", "SELECT event_id, CAST(floor(value - 50.5 + 0.5) AS BIGINT) AS whole, printf('%.2f', value) AS fixed FROM events")
+@query("x15_browser_rounding", "SELECT event_id, CAST(floor(value - 50.5 + 0.5) AS BIGINT) AS whole, printf('%.2f', value) AS fixed, printf('%.3f', sqrt(value) * 123456789012) AS large FROM events")
 def x15(spark, sf):
     value = F.col("value")
     return table(spark, sf, "events").select(
-        "event_id", numbers.round_half_up_integer(value - 50.5).alias("whole"), numbers.fixed_text(value, 2).alias("fixed")
+        "event_id", numbers.round_half_up_integer(value - 50.5).alias("whole"), numbers.fixed_text(value, 2).alias("fixed"),
+        numbers.fixed_text(F.sqrt(value) * 123456789012, 3, "even").alias("large"),
     )
 
 
