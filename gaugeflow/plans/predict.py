@@ -7,9 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import presets
 from ..functions.labels import lookup
+from ..functions.numbers import nan_to_null
 from ..learning.pipelines import load_model
 from ..operators import quality, scoring
 from ..sources.delimited import write_csv
@@ -43,7 +45,10 @@ def score_readings(
     """
     fields = list(presets.READING_DEFAULTS)
     extra = [c for c in readings.columns if c not in fields]
-    df = quality.fill_defaults(readings, presets.READING_DEFAULTS)
+    # NaN is missing too: the models would drop such a row
+    number = [f for f in fields if f in readings.columns and isinstance(readings.schema[f].dataType, T.FractionalType)]
+    present = readings.withColumns({f: nan_to_null(F.col(f)) for f in number})
+    df = quality.fill_defaults(present, presets.READING_DEFAULTS)
     co, no2, t, rh = F.col("co_ugm3"), F.col("no2_ugm3"), F.col("temperature"), F.col("humidity")
 
     def apply(frame, name, values, output):

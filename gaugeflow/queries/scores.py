@@ -106,11 +106,11 @@ def h11(spark, sf):
 @query(
     "h12_rule_co_and_benzene",
     """SELECT event_id, CASE WHEN value * 20 > 1000 THEN 'High CO Level' ELSE 'Normal CO' END AS label, value * 20 > 1000 AS high,
-       round(value * 20 * 0.003, 6) AS benzene FROM events""",
+       printf('%.2f', CASE WHEN (value * 20 * 0.003 * 8) % 2 = 1 THEN value * 20 * 0.003 + 0.001 ELSE value * 20 * 0.003 END) AS benzene FROM events""",
 )
 def h12(spark, sf):
     co = F.col("value") * 20
-    benzene = F.round(co * presets.BENZENE_RULE_FACTOR, 6).alias("benzene")
+    benzene = scoring.rule_benzene(co).alias("benzene")
     rows = table(spark, sf, "events").select("event_id", scoring.rule_co(co).alias("state"), benzene)
     return rows.select("event_id", "state.*", "benzene")
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import bytes as byte_columns
-from ..functions.text import from_utf8, to_utf8
 from ..operators import schema
 from ..session import scratch_dir
 from ..sources import delimited, fixed_width, markup, readings, records, text
@@ -132,14 +131,23 @@ def s8(spark, sf):
     return delimited.read_csv(spark, f"{path}/*.txt", "c_custkey long, c_name string, c_acctbal double")
 
 
-@query(
-    "s9_whole_text",
-    "SELECT doc_id, CAST(length(text) AS INTEGER) AS chars, CAST(len(string_split(text, chr(10))) AS INTEGER) AS lines, md5(text) AS digest FROM documents",
-)
+BLOCKS_SQL = "SELECT doc_id // 100 AS block, string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS t FROM documents GROUP BY 1"
+
+
+def document_files(spark, sf, label):
+    """One text file for each hundred keys of documents, texts in key order; returns the folder."""
+    path = scratch_dir(spark, label)
+    docs = table(spark, sf, "documents").groupBy(F.floor(F.col("doc_id") / 100).alias("block"))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda d: d["text"])
+    docs.agg(F.array_join(texts, "\n").alias("text")).write.partitionBy("block").text(path)
+    return path
+
+
+@query("s9_whole_text", f"SELECT CAST(length(t) AS INTEGER) AS chars, CAST(len(string_split(t, chr(10))) AS INTEGER) AS lines, md5(t) AS digest FROM ({BLOCKS_SQL})")
 def s9(spark, sf):
     body = F.col("text")
-    lines = F.size(F.split(body, "\n", -1)).alias("lines")
-    return table(spark, sf, "documents").select("doc_id", F.length(body).alias("chars"), lines, F.md5(body).alias("digest"))
+    files = text.read_whole_text(spark, document_files(spark, sf, "s9"))
+    return files.select(F.length(body).alias("chars"), F.size(F.split(body, "\n", -1)).alias("lines"), F.md5(body).alias("digest"))
 
 
 @query("s10_fixed_width_scan", "SELECT event_id AS value, count(*) AS n FROM events GROUP BY event_id")
@@ -149,10 +157,16 @@ def s10(spark, sf):
     return fixed_width.read_uint32(spark, path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("s11_bytes_to_text", "SELECT doc_id, md5(text) AS digest FROM documents")
+@query("s11_bytes_to_text", f"SELECT block, md5(t) AS digest FROM ({BLOCKS_SQL})")
 def s11(spark, sf):
-    raw = table(spark, sf, "documents").select("doc_id", to_utf8(F.col("text")).alias("content"))
-    return raw.select("doc_id", F.md5(from_utf8(F.col("content"))).alias("digest"))
+    files = text.read_bytes_as_text(spark, document_files(spark, sf, "s11"))
+    return files.select(F.regexp_extract("path", r"block=(\d+)", 1).cast("long").alias("block"), F.md5("text").alias("digest"))
+
+
+@query("s18_file_listing", f"SELECT count(*) AS files, CAST(sum(strlen(t)) AS BIGINT) AS bytes FROM ({BLOCKS_SQL})")
+def s18(spark, sf):
+    found = text.list_files(spark, document_files(spark, sf, "s18"), "part-*")
+    return found.agg(F.count("name").alias("files"), F.sum("length").alias("bytes"))
 
 
 @query(

@@ -27,13 +27,16 @@ def t1(spark, sf):
 
 @query(
     "t2_malformed_routing",
-    """SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'rejected' ELSE 'parsed' END AS route,
-       CASE WHEN event_id % 10 <> 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events""",
+    """SELECT event_id, CASE WHEN event_id % 10 < 3 THEN 'rejected' ELSE 'parsed' END AS route,
+       CASE WHEN event_id % 10 >= 3 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events""",
 )
 def t2(spark, sf):
     out = scratch_dir(spark, "t2")
     cut = F.expr("substring(props, 1, length(props) - 1)")
-    broken = F.when(F.col("event_id") % 10 == 0, cut).otherwise(F.col("props"))
+    kind, props = F.col("event_id") % 10, F.col("props")
+    listed, wrong = F.concat(F.lit("["), props, F.lit("]")), F.lit('{"k": "abc"}')
+    twice = F.concat(F.lit('{"k": 0, '), F.substring_index(props, "{", -1))  # the last value of a key counts
+    broken = F.when(kind == 0, cut).when(kind == 1, listed).when(kind == 2, wrong).when(kind == 3, twice).otherwise(props)
     source = event_stream(spark, sf).select("event_id", broken.alias("props"))
     route_malformed(source, "props", "k long", "parsed", f"{out}/good", f"{out}/bad", f"{out}/checkpoint").awaitTermination()
     good = spark.read.parquet(f"{out}/good").select("event_id", F.lit("parsed").alias("route"), F.col("parsed.k").alias("k"))

@@ -37,8 +37,9 @@ def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of varying shape as one ``VARIANT`` column ``doc``; an unparsable line is null."""
-    return spark.read.text(path).select(F.try_parse_json("value").alias("doc"))
+    """Documents of varying shape: the ``line`` as it stands and the ``VARIANT`` column ``doc``, null where
+    the line cannot be parsed."""
+    return spark.read.text(path).select(F.col("value").alias("line"), F.try_parse_json("value").alias("doc"))
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str | T.StructType) -> DataFrame:
@@ -54,14 +55,22 @@ def parse_json(text: Column, schema: str) -> Column:
     return F.from_json(text, schema, {"mode": "PERMISSIVE"})
 
 
-def is_malformed(text: Column) -> Column:
-    """True for text that is present but not valid JSON."""
-    return text.isNotNull() & F.try_parse_json(text).isNull()
+def is_malformed(text: Column, schema: str) -> Column:
+    """True for text that is present but not one JSON object whose fields fit ``schema`` (as DDL).
+
+    The parser of :func:`parse_json` is the judge. Arrays, scalars, blank text and values of a wrong type
+    are malformed; of a repeated key the last value counts.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"}
+    parsed = F.from_json(text, f"{schema}, __corrupt string", options)
+    fits = F.ltrim(text).startswith("{") & parsed.isNotNull() & parsed["__corrupt"].isNull()
+    return text.isNotNull() & ~fits
 
 
 def split_malformed(df: DataFrame, column: str, schema: str, output: str) -> tuple[DataFrame, DataFrame]:
-    """``(parsed, rejected)``: rows whose JSON text parses, with ``output`` added, and the rest."""
-    bad = is_malformed(F.col(column))
+    """``(parsed, rejected)``: rows whose text is null or a fitting JSON object, with
+    ``output`` added, and the rest."""
+    bad = is_malformed(F.col(column), schema)
     good = df.filter(~F.coalesce(bad, F.lit(False)))
     return good.withColumn(output, parse_json(F.col(column), schema)), df.filter(bad)
 

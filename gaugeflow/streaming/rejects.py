@@ -19,7 +19,7 @@ def route_malformed(
     """
 
     def write_both(batch: DataFrame, batch_id: int) -> None:
-        judged = batch.withColumn("__bad", F.coalesce(is_malformed(F.col(column)), F.lit(False))).persist()
+        judged = batch.withColumn("__bad", F.coalesce(is_malformed(F.col(column), schema), F.lit(False))).persist()
         try:
             parsed = judged.filter(~F.col("__bad")).withColumn(output, parse_json(F.col(column), schema))
             rejected = judged.filter("__bad")

@@ -61,6 +61,10 @@ def test_malformed_records(spark, tmp_path):
     good, bad = split_malformed(df, "body", "k long", "parsed")
     assert sorted((r["i"], r["parsed"] and r["parsed"]["k"]) for r in good.collect()) == [(1, 1), (4, None), (5, None)]
     assert sorted(r["i"] for r in bad.collect()) == [2, 3]
+    odd = [(1, "[1,2]"), (2, '"x"'), (3, '{"k":"abc"}'), (4, '{"k":1,"k":2}'), (5, " "), (6, ' {"k": 7}')]
+    good, bad = split_malformed(spark.createDataFrame(odd, "i int, body string"), "body", "k long", "parsed")
+    assert sorted((r["i"], r["parsed"]["k"]) for r in good.collect()) == [(4, 2), (6, 7)]
+    assert sorted(r["i"] for r in bad.collect()) == [1, 2, 3, 5]
     df.write.parquet(str(tmp_path / "in"))
     source = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
     paths = [str(tmp_path / p) for p in ("good", "bad", "ck")]
