@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..learning import clustering, pipelines, split
 from ..operators import filters, quality, schema, stats
+from ..session import materialise
 
 
 def explore(
@@ -38,7 +39,7 @@ def cluster_study(
     """
     usable = filters.drop_incomplete_rows(df, features)
     prepared = Pipeline(stages=[pipelines.assembler(features), pipelines.scaler()]).fit(usable)
-    vectors = prepared.transform(usable)
+    vectors = materialise(prepared.transform(usable), "vectors")  # each fit and both results read it again
     curve = clustering.elbow(vectors, ks, seeds=seeds)
     assigned = clustering.fit_kmeans(vectors, k, seeds=seeds).transform(vectors)
     assigned = assigned.withColumnRenamed("prediction", "cluster")

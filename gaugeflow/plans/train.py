@@ -105,7 +105,7 @@ def train_service_models(
     k: int = 4,
     trees: int = 100,
     depth: int = 10,
-    seeds: Sequence[int] = (42,),
+    seeds: Sequence[int] = range(42, 52),
 ) -> tuple[dict[str, PipelineModel], dict]:
     """The three models of the scoring surface and their metadata.
 

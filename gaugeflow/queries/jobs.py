@@ -89,7 +89,7 @@ def j3(spark, sf):
     return rounded(comparison.unpack_metrics(record).drop("higher_better", "ordinal"), "value", digits=4)
 
 
-def service_models(spark, sf, path=None, metadata=None, trees=50, depth=5):
+def service_models(spark, sf, path=None, metadata=None):
     rows = weekly(spark, sf)
     wide = rows.select("reading_id", *CHANNELS, F.hour("first_ts").alias("hour"), (F.col("click") + F.col("view")).alias("both"))
     return train.train_service_models(
@@ -97,7 +97,7 @@ def service_models(spark, sf, path=None, metadata=None, trees=50, depth=5):
         regression=(["view", "signup", "purchase", "error", "hour", "both"], "click"),
         classification=(["view", "signup", "purchase", "hour"], "error"),
         clusters=(["click", "view", "signup", "purchase", "error", "hour", "both"], "error"),
-        model_path=path, metadata_path=metadata, trees=trees, depth=depth,
+        model_path=path, metadata_path=metadata,
     )
 
 
@@ -238,7 +238,7 @@ def j8(spark, sf):
 @query("j9_compare_classifiers")
 def j9(spark, sf):
     rows = weekly(spark, sf).select("reading_id", *CHANNELS)
-    found = explore.compare_classifiers(rows, "reading_id", CHANNELS[:4], "error", trees=50, depth=5)
+    found = explore.compare_classifiers(rows, "reading_id", CHANNELS[:4], "error")
     out = None
     for name, tables in found.items():
         part = tables["report"].withColumn("model", F.lit(name))

@@ -75,10 +75,16 @@ def _one_feature_model(spark, sf):
     return pipeline.fit(table(spark, sf, "lineitem"))
 
 
-@query("l4_least_squares_all_features")
+@query(
+    "l4_least_squares_all_features",
+    """SELECT CAST(position AS INTEGER) AS position, feature, CAST(coefficient AS DOUBLE) AS coefficient FROM
+       (VALUES (0, 'l_quantity', 2), (1, 'l_discount', -500), (2, 'l_tax', 700), (3, '(intercept)', 3)) t(position, feature, coefficient)""",
+)
 def l4_all(spark, sf):
-    pipeline = pipelines.pipeline(LINE_FEATURES, pipelines.least_squares(PRICE), standardised=False)
-    model = pipeline.fit(table(spark, sf, "lineitem"))
+    """A target that is linear in all features gives back its coefficients."""
+    target = F.lit(3.0) + F.col("l_quantity") * 2 - F.col("l_discount") * 500 + F.col("l_tax") * 700
+    pipeline = pipelines.pipeline(LINE_FEATURES, pipelines.least_squares("target"), standardised=False)
+    model = pipeline.fit(table(spark, sf, "lineitem").withColumn("target", target))
     return rounded(pipelines.coefficients(spark, model), "coefficient", digits=4)
 
 
@@ -97,16 +103,26 @@ def l5(spark, sf):
     return rounded(spark.createDataFrame(rows, "reg_param double, elastic_net double, cv_rmse double"), "cv_rmse", digits=2)
 
 
-def _channels(spark, sf):
-    return filters.drop_incomplete_rows(weekly(spark, sf).select("reading_id", *CHANNELS), CHANNELS)
+def _grouped_events(spark, sf, group):
+    """Events with features ``f0`` to ``f3`` that each tell the groups apart by a wide gap."""
+    shift = group.cast("double") * 100
+    return table(spark, sf, "events").select("event_id", "user_id", *[(shift + F.col("event_id") % (i + 2)).alias(f"f{i}") for i in range(4)])
+
 
+GROUP_FEATURES = [f"f{i}" for i in range(4)]
 
-@query("l6_forest_regression")
+
+@query(
+    "l6_forest_regression",
+    f"SELECT event_id, CAST(user_id % 4 * 10 AS DOUBLE) AS target, CAST(user_id % 4 * 10 AS DOUBLE) AS prediction FROM events WHERE {_hash_sql('event_id', 100)} >= 80",
+)
 def l6(spark, sf):
-    forest = pipelines.forest_regressor("error", numTrees=50, maxDepth=5)
-    train, test = split.hash_split(_channels(spark, sf), "reading_id")
-    model = pipelines.pipeline(CHANNELS[:4], forest).fit(train)
-    return model.transform(test).select("reading_id", "error", F.round("prediction", 4).alias("prediction"))
+    """Every leaf holds one target."""
+    group = F.col("user_id") % 4
+    rows = _grouped_events(spark, sf, group).withColumn("target", group.cast("double") * 10)
+    train, test = split.hash_split(rows, "event_id")
+    model = pipelines.pipeline(GROUP_FEATURES, pipelines.forest_regressor("target", numTrees=100, maxDepth=10)).fit(train)
+    return model.transform(test).select("event_id", "target", F.round("prediction", 4).alias("prediction"))
 
 
 def _labelled_vectors(spark, sf):
@@ -114,33 +130,63 @@ def _labelled_vectors(spark, sf):
     return vectors.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>"))).drop("embedding")
 
 
-@query("l7_forest_classification")
+def _shifted(spark, sf, shift):
+    """Vectors whose element ``i`` is ``shift(x, i)``: what makes the right answer definite."""
+    moved = F.transform(F.col("embedding").cast("array<double>"), shift)
+    return table(spark, sf, "embeddings").select("vec_id", F.col("label").cast("double").alias("label"), moved.alias("embedding"))
+
+
+def _with_vectors(rows):
+    return rows.withColumn("features", array_to_vector("embedding")).drop("embedding")
+
+
+TOLD_APART = f"SELECT vec_id, CAST(label AS INTEGER) AS label, CAST(label AS INTEGER) AS prediction FROM embeddings WHERE {_hash_sql('vec_id', 100)} >= 80"
+
+
+@query("l7_forest_classification", TOLD_APART)
 def l7(spark, sf):
-    train, test = split.hash_split(_labelled_vectors(spark, sf), "vec_id")
-    model = pipelines.forest_classifier("label", trees=100, depth=5).fit(train)
+    """Every element tells all classes apart by a wide gap."""
+    train, test = split.hash_split(_with_vectors(_shifted(spark, sf, lambda x: F.col("label") * 10 + F.signum(x))), "vec_id")
+    model = pipelines.forest_classifier("label").fit(train)
     return model.transform(test).select("vec_id", F.col("label").cast("int"), F.col("prediction").cast("int"))
 
 
-@query("l8_logistic_regression")
+@query("l8_logistic_regression", TOLD_APART)
 def l8(spark, sf):
-    train, test = split.hash_split(_labelled_vectors(spark, sf), "vec_id")
+    """Each class stands out in elements of its own."""
+    far = _shifted(spark, sf, lambda x, i: x + F.when(i % 10 == F.col("label"), 100.0).otherwise(0.0))
+    train, test = split.hash_split(_with_vectors(far), "vec_id")
     model = pipelines.logistic("label", train.count()).fit(train)
     return model.transform(test).select("vec_id", F.col("label").cast("int"), F.col("prediction").cast("int"))
 
 
-@query("l9_kmeans")
+@query("l9_kmeans", "SELECT vec_id, CAST(vec_id % 4 AS INTEGER) AS cluster FROM embeddings")
 def l9(spark, sf):
-    vectors = _labelled_vectors(spark, sf).persist()
+    """Four far groups; clusters are numbered by their mean."""
+    group = (F.col("vec_id") % 4).cast("double")
+    vectors = _shifted(spark, sf, lambda x: group * 1000 + x).withColumn("at", F.get("embedding", F.lit(0)))
+    vectors = _with_vectors(vectors).persist()
     try:
         model = clustering.fit_kmeans(vectors, 4, seeds=range(42, 52), parallelism=8)
     finally:
         vectors.unpersist()
-    return model.transform(vectors).select("vec_id", F.col("prediction").alias("cluster"))
+    found = model.transform(vectors).withColumnRenamed("prediction", "found")
+    return clustering.name_clusters(found, "found", "at", presets.CLUSTER_NAMES).select("vec_id", F.col("rank").alias("cluster"))
 
 
-@query("l10_elbow")
+@query(
+    "l10_elbow",
+    """WITH p AS (SELECT pow(10, vec_id % 4) AS x FROM embeddings),
+         parts AS (SELECT k, var_pop(x) * count(*) AS v FROM p, (VALUES (1), (2), (3)) t(k)
+           GROUP BY k, CASE k WHEN 1 THEN 0 WHEN 2 THEN CASE WHEN x = 1000 THEN 1 ELSE 0 END ELSE CASE WHEN x <= 10 THEN 0 ELSE x END END)
+       SELECT CAST(k AS INTEGER) AS k, round(64 * sum(v), 3) AS inertia FROM parts GROUP BY k
+       UNION ALL SELECT CAST(range AS INTEGER), 0.0::DOUBLE FROM range(4, 11)""",
+)
 def l10(spark, sf):
-    return rounded(clustering.elbow(_labelled_vectors(spark, sf)), "inertia", digits=3)
+    """Four distinct points, each ten times as far as the one before."""
+    at = F.pow(F.lit(10.0), F.col("vec_id") % 4)
+    vectors = _with_vectors(_shifted(spark, sf, lambda x: at))
+    return rounded(clustering.elbow(vectors, seeds=range(42, 52), parallelism=8), "inertia", digits=3)
 
 
 VECTOR_CELLS = "SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings"
@@ -151,11 +197,20 @@ def l10_one(spark, sf):
     return rounded(clustering.one_cluster_cost(_labelled_vectors(spark, sf)), "inertia", digits=4)
 
 
-@query("l11_pca")
+@query(
+    "l11_pca",
+    """WITH w AS (SELECT vec_id, embedding[1]::DOUBLE AS a, embedding[1]::DOUBLE + embedding[2]::DOUBLE AS b FROM embeddings),
+         s AS (SELECT vec_id, (a - avg(a) OVER ()) / stddev_samp(a) OVER () AS a, (b - avg(b) OVER ()) / stddev_samp(b) OVER () AS b FROM w),
+         r AS (SELECT corr(a, b) AS r FROM s)
+       SELECT vec_id, round(abs(CASE WHEN r > 0 THEN a + b ELSE a - b END) / sqrt(2), 4) AS pc1,
+         round(abs(CASE WHEN r > 0 THEN a - b ELSE a + b END) / sqrt(2), 4) AS pc2 FROM s, r""",
+)
 def l11(spark, sf):
-    wide = pipelines.with_features(table(spark, sf, "embeddings"), "embedding", DIMS)
-    scaled = Pipeline(stages=[pipelines.assembler(DIMS), pipelines.scaler()]).fit(wide).transform(wide)
-    return rounded(clustering.project_pca(scaled).select("vec_id", "pc1", "pc2"), "pc1", "pc2", digits=4)
+    """Two standardised columns have their sum and their difference as components, up to the sign."""
+    wide = pipelines.with_features(table(spark, sf, "embeddings"), "embedding", DIMS[:2]).withColumn("e1", F.col("e0") + F.col("e1"))
+    scaled = Pipeline(stages=[pipelines.assembler(DIMS[:2]), pipelines.scaler()]).fit(wide).transform(wide)
+    found = clustering.project_pca(scaled)
+    return found.select("vec_id", *[F.round(F.abs(F.col(c)), 4).alias(c) for c in ("pc1", "pc2")])
 
 
 @query("l12_fold_sizes", f"SELECT CAST({_hash_sql('o_orderkey', 3, 8)} AS INTEGER) AS fold, count(*) AS n FROM orders GROUP BY 1")
@@ -170,11 +225,14 @@ def l14(spark, sf):
     return rounded(pipelines.coefficients(spark, pipeline.fit(table(spark, sf, "lineitem"))), "coefficient", digits=3)
 
 
-@query("l15_feature_importances")
+@query("l15_feature_importances", "SELECT 'e0' AS first, 1.0::DOUBLE AS total, 64::BIGINT AS features")
 def l15(spark, sf):
+    """One feature tells all classes apart; importances sum to one."""
     wide = pipelines.with_features(table(spark, sf, "embeddings"), "embedding", DIMS)
-    model = pipelines.pipeline(DIMS, pipelines.forest_classifier("label", trees=50, depth=5)).fit(wide)
-    return rounded(pipelines.importances(spark, model), "importance")
+    wide = wide.withColumn("e0", F.col("label") * 10 + F.signum("e0"))
+    model = pipelines.pipeline(DIMS, pipelines.forest_classifier("label")).fit(wide)
+    found = pipelines.importances(spark, model)
+    return found.agg(F.max_by("feature", "importance").alias("first"), F.round(F.sum("importance"), 6).alias("total"), F.count("feature").alias("features"))
 
 
 @query(
@@ -293,11 +351,15 @@ def h6(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", state.alias("state")).select("vec_id", "state.*")
 
 
-@query("h3_co_class_by_model")
+@query(
+    "h3_co_class_by_model",
+    f"SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 'HIGH CO Risk' ELSE 'LOW CO Risk' END AS label, user_id % 3 = 0 AS high FROM events WHERE {_hash_sql('event_id', 100)} >= 80",
+)
 def h3(spark, sf):
-    rows = _channels(spark, sf)
-    labelled, _ = binarise_by_median(rows, "error", "high")
-    train, test = split.hash_split(labelled, "reading_id")
-    model = pipelines.pipeline(CHANNELS[:4], pipelines.forest_classifier("high", trees=50, depth=5)).fit(train)
+    """A third of the users lies above the median, and every feature tells them apart."""
+    high = (F.col("user_id") % 3 == 0).cast("int")
+    labelled, _ = binarise_by_median(_grouped_events(spark, sf, high).withColumn("co", high.cast("double") * 10), "co", "high")
+    train, test = split.hash_split(labelled, "event_id")
+    model = pipelines.pipeline(GROUP_FEATURES, pipelines.forest_classifier("high")).fit(train)
     state = scoring.co_state(F.col("prediction")).alias("co_class")
-    return model.transform(test).select("reading_id", state).select("reading_id", "co_class.*")
+    return model.transform(test).select("event_id", state).select("event_id", "co_class.*")
