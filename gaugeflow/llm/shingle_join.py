@@ -147,26 +147,27 @@ def _keys(width: int, percent: int, hot: frozenset[int] = frozenset()):
 
 
 def _chain(hot: frozenset[int]):
-    """Edges between neighbours with the same key and salt in a stream sorted by (key, salt, node). The first
-    row of each salt of a hot key is given as well (``u`` null), as the key goes on in other salts."""
+    """Edges from the first node of each key and salt to the others, in a stream sorted by (key, salt, node).
+    The first node of each salt of a hot key is given as well (``u`` null), as the key goes on in other salts."""
     many = np.array(sorted(hot), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = np.zeros((3, 0), np.int64)
+        head = np.zeros((3, 0), np.int64)
         for batch in batches:
             if not batch.num_rows:
                 continue
             fresh = np.stack([batch.column(c).to_numpy() for c in ("key", "salt", "node")])
-            rows = np.concatenate([last, fresh], axis=1)
-            run_on = (rows[:2, 1:] == rows[:2, :-1]).all(0)
-            same = run_on & (rows[2, 1:] != rows[2, :-1])
-            pairs = np.unique(np.stack([rows[2, :-1][same], rows[2, 1:][same]]), axis=1)
-            opens = rows[:, 1:][:, ~run_on] if last.shape[1] else np.concatenate([rows[:, :1], rows[:, 1:][:, ~run_on]], axis=1)
-            opens = opens[:, np.isin(opens[0], many)]
-            key = np.concatenate([np.zeros(pairs.shape[1], np.int64), opens[0]])
-            u = pa.array(np.concatenate([pairs[0], opens[2]]), mask=np.arange(len(key)) >= pairs.shape[1])
-            yield pa.record_batch([pa.array(key), u, pa.array(np.concatenate([pairs[1], opens[2]]))], names=["key", "u", "v"])
-            last = rows[:, -1:]
+            rows = np.concatenate([head, fresh], axis=1)
+            opens = np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(0)])
+            first = rows[2][np.maximum.accumulate(np.where(opens, np.arange(len(opens)), 0))]
+            apart = first != rows[2]
+            pairs = np.unique(np.stack([first[apart], rows[2][apart]]), axis=1)
+            opens[: head.shape[1]] = False  # given before
+            rims = rows[:, opens & np.isin(rows[0], many)]
+            key = np.concatenate([np.zeros(pairs.shape[1], np.int64), rims[0]])
+            u = pa.array(np.concatenate([pairs[0], rims[2]]), mask=np.arange(len(key)) >= pairs.shape[1])
+            yield pa.record_batch([pa.array(key), u, pa.array(np.concatenate([pairs[1], rims[2]]))], names=["key", "u", "v"])
+            head = np.stack([rows[0, -1:], rows[1, -1:], first[-1:]])
 
     return run
 

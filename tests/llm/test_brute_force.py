@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 from gaugeflow.llm import bitplanes, context_tree, exact_dedup, fingerprint, mixing, packing, pii, quality, shingle_join, url_filter
-from gaugeflow.llm.components import components
+from gaugeflow.llm.components import components, stars
 from gaugeflow.llm.radix import RadixTrie
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -184,6 +184,18 @@ def test_components_hot_node_and_path(spark):
     assert got == {i: 100 for i in range(100, 161)} | {i: 7 for i in [7, *range(1000, 1200)]}
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_stars_of_one_task(seed):
+    random = np.random.default_rng(seed)
+    n, ends = int(random.integers(1, 80)), random.integers(0, 60, (2, 80))
+    u, v = ends[0][:n], ends[1][:n]
+    forest = shingle_join.Forest(60)
+    for a, b in zip(u, v):
+        forest.unite(int(a), int(b))
+    root, node = stars(u, v)
+    assert dict(zip(node.tolist(), root.tolist())) == {int(k): forest.find(int(k)) for k in {*u, *v} if forest.find(int(k)) != k}
+
+
 def test_url_rules(spark, sf):
     cases = {
         "http://A.Example.org/es/1": ("a.example.org", "/es/1", "example.org/es/", "block"),
