@@ -28,8 +28,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by word shingles."""
-    return shingle_join.keep_one(docs)
+    """One document of each group linked by shingles of five words, at least 0.8 alike."""
+    return shingle_join.keep_one(docs, width=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
