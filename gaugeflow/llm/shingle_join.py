@@ -444,10 +444,19 @@ def _rest(found: DataFrame, links: DataFrame, width: int, percent: int) -> DataF
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``df`` without those of a component other than the one that names it."""
-    groups = near_duplicates(df, key, text, width, percent)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return df.join(gone, df[key].cast("long").eqNullSafe(gone["__id"]), "left_anti")
+    """The rows of ``df`` without those of a component other than its first.
+
+    Rows count, not keys: of a component the row with the smallest key stays, null keys last, and of rows
+    that share that key one. Rows that are linked with nothing stay, whatever their key.
+    """
+    numbered = materialise(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(numbered, "__row", text, width, percent).where("n_shingles > 0")
+    keys = numbered.select(F.col("__row").alias("doc_id"), F.col(key).cast("long").alias("key"))
+    place = F.struct(F.col("key").isNull().alias("last"), "key", F.col("doc_id").alias("row"))
+    placed = materialise(groups.join(keys, "doc_id").select("component_id", place.alias("place")), "places")
+    first = placed.groupBy("component_id").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = placed.join(first, "component_id").where("place.row != first.row").select(F.col("place.row").alias("__row"))
+    return numbered.join(gone, "__row", "left_anti").drop("__row")
 
 
 def shingle_join(spark, sf: str) -> DataFrame:

@@ -1,9 +1,12 @@
 """The pipeline's near-copy stage: five words, 0.8 alike, and which rows stay."""
 
 import re
+from collections import Counter
 
 import corpus_pipeline
 
+from gaugeflow.llm import shingle_join
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -46,3 +49,17 @@ def test_five_words_and_eight_tenths(spark, sf):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, sf).collect()}
     assert kept == _kept(texts) == {0, 10, 20, 30, 31}
+
+
+def test_rows_stay_or_go_by_row_not_by_key(spark):
+    base = [_text(_words(60, f"t{k}_")) for k in range(6)]
+    rows = [
+        (7, base[0], "stays"), (None, base[0] + " end", "goes"), (None, base[1], "clean"), (None, None, "empty"), (None, "", "empty"),
+        (None, base[2], "nulls"), (None, base[2] + " end", "nulls"),
+        (3, base[3], "stays"), (9, base[3] + " end", "goes"), (9, base[4], "clean"),
+        (5, base[5], "twice"), (5, base[5] + " end", "twice"), (8, base[5] + " last", "goes"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, what string").repartition(3)
+    got = shingle_join.keep_one(docs, width=5, percent=80)
+    assert got.columns == docs.columns
+    assert Counter(r["what"] for r in got.collect()) == {"stays": 2, "clean": 2, "empty": 2, "nulls": 1, "twice": 1}
