@@ -129,11 +129,11 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", weights=WEIGH
 
     Size counts the words of the whole text (null: 0); null is a source of its own. Rows that repeat a
     key are rows of their own. Rows of size 0 are taken by their drawn copies, which add no words.
-    Columns of ``df`` with the added names are replaced. ``df`` must give the same rows in the same
-    partitions when it is read again, as a table does.
+    Columns of ``df`` with the added names are replaced. The rows are numbered once, in a table that both
+    the sizes and the result come from, so ``df`` may give its rows in other partitions when read again.
     """
     names = ["size", "source_size", "target", "copies", "taken"]
-    numbered = df.drop(*names).withColumn("__row", F.monotonically_increasing_id())
+    numbered = materialise(df.drop(*names).withColumn("__row", F.monotonically_increasing_id()), "numbered")
     sized = materialise(numbered.select(F.col("__row").alias("row"), F.col(source).cast("string").alias("source"), word_count(whole_text(text)).alias("size")), "sizes")
     wanted = targets(sized, weights, share, most)
     per = wanted.withColumnRenamed("source", "__s")
