@@ -39,24 +39,31 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 CHANNELS = ["click", "view", "signup", "purchase", "error"]
 
 
-def _wide(events: DataFrame, bucket, factor: int) -> DataFrame:
+#: Users that a key has room for.
+USERS = 1 << 40
+
+
+def _wide(events: DataFrame, period, factor: int) -> DataFrame:
     """Events as a wide sensor table: one row per user and period, one channel per event type.
 
-    Conditional averages in a single aggregate: one shuffle, reduced on each task first.
+    Conditional averages in a single aggregate: one shuffle, reduced on each task first. The key has the
+    user (0 to ``USERS``) and the period; periods from 0 to ``factor`` stand in its last digits.
     """
     channels = [F.avg(F.when(F.col("event_type") == c, F.col("value"))).alias(c) for c in CHANNELS]
-    grouped = events.groupBy("user_id", bucket.cast("long").alias("period")).agg(F.min("ts").alias("first_ts"), *channels)
-    return grouped.withColumn("reading_id", F.col("user_id") * factor + F.col("period"))
+    grouped = events.groupBy("user_id", period.cast("long").alias("period")).agg(F.min("ts").alias("first_ts"), *channels)
+    key = F.col("user_id") * factor + F.pmod("period", F.lit(factor)) + F.floor(F.col("period") / factor) * (factor * USERS)
+    return grouped.withColumn("reading_id", key)
 
 
 def weekly(spark: SparkSession, sf: str) -> DataFrame:
-    """About a tenth of each channel is null."""
-    return _wide(table(spark, sf, "events"), F.floor((F.dayofmonth("ts") - 1) / 7), 10)
+    """Weeks from Monday on, counted from that of 2024-01-01. About a tenth of each channel is null."""
+    days = F.datediff(F.date_trunc("week", "ts"), F.lit("2024-01-01").cast("date"))
+    return _wide(table(spark, sf, "events"), F.floor(days / 7), 10)
 
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:
-    """More than half of each channel is null."""
-    return _wide(table(spark, sf, "events"), F.dayofmonth("ts"), 100)
+    """Days counted from 2024-01-01 as 1. More than half of each channel is null."""
+    return _wide(table(spark, sf, "events"), F.datediff(F.date_trunc("day", "ts"), F.lit("2023-12-31").cast("date")), 100)
 
 
 def _wide_sql(name: str, bucket: str, factor: int) -> str:
