@@ -92,4 +92,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, label)
     write_table(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._gaugeflow_path = path
+    return table
+
+
+def release(table: DataFrame) -> None:
+    """Delete a table that :func:`materialise` returned, once nothing reads it any more. Iterative jobs use
+    it to keep one round on disk instead of all."""
+    spark, path = table.sparkSession, getattr(table, "_gaugeflow_path", None)
+    if path is not None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        table._gaugeflow_path = None
