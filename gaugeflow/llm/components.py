@@ -9,10 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, release
 
 #: Edges that a task looks at together. More are taken in turns, which costs rounds but nothing else.
 TOGETHER = 1 << 19
+#: A node with more edges than this is met by them without moving them.
+HUB = 1 << 16
 
 
 def stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,35 +48,54 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def _contracted(edges: DataFrame) -> DataFrame:
-    return materialise(edges.select("u", "v").mapInArrow(_contract, "u long, v long"), "edges")
+def _contracted(edges: DataFrame) -> tuple[DataFrame, int]:
+    """The edges as stars of the tasks that look at them, and the number of tasks that were enough for all."""
+    own = materialise(edges.select("u", "v").mapInArrow(_contract, "u long, v long"), "edges")
+    rows = own.count()
+    tasks = -(-rows // TOGETHER)
+    if own.rdd.getNumPartitions() > max(1, tasks):  # fewer tasks, each still with a bounded number of edges
+        fewer = materialise(own.coalesce(max(1, tasks)).mapInArrow(_contract, "u long, v long"), "edges")
+        release(own)
+        own = fewer
+    return own, tasks
 
 
 def _are_stars(edges: DataFrame) -> bool:
     """Whether each node hangs on one root at most, and no root on any."""
-    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(0).alias("hangs")), F.struct(F.col("v").alias("node"), F.lit(1).alias("hangs")))).alias("e"))
-    nodes = ends.groupBy("e.node").agg(F.sum("e.hangs").alias("hangs"), F.min("e.hangs").alias("least"))
-    return nodes.agg(F.count(F.when((F.col("hangs") > 1) | ((F.col("hangs") > 0) & (F.col("least") == 0)), 1))).first()[0] == 0
+    twice = edges.groupBy("v").agg(F.count(F.lit(1)).alias("hangs")).where("hangs > 1")
+    return twice.isEmpty() and edges.select("u").distinct().join(edges, F.col("u") == edges["v"], "left_semi").isEmpty()
+
+
+def _with_least(edges: DataFrame, node: str, least: DataFrame) -> DataFrame:
+    """``edges`` with the ``m`` of their ``node``. Nodes of very many edges are few, at most one in ``HUB``
+    edges, and meet their edges where these lie."""
+    hubs = least.where(F.col("degree") > HUB).select(node, "m")
+    others = least.where(F.col("degree") <= HUB).select(node, "m")
+    return edges.join(others, node).unionByName(edges.join(F.broadcast(hubs), node))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)``: the smallest node reachable from each node of ``(u, v)`` (longs, any order).
 
-    Each task first turns the edges it has into stars. A round then hangs every larger neighbour of a node
-    on the smallest one, then every smaller one too, and each task turns what it gets into stars again,
-    until the whole table is stars. The sum of the nodes over all edges falls in each round, so it ends;
-    rounds are about log2 of the longest path at most, and few where tasks see many edges. A round
-    aggregates first and joins on the minimum, so a node with very many neighbours is never gathered.
+    Each task first turns the edges it has into stars; as many tasks look at the stars again as their number
+    asks for, so a table of up to ``TOGETHER`` edges is finished by one bounded task. Otherwise a round hangs
+    every larger neighbour of a node on the smallest one, then every smaller one too, and the tasks turn what
+    they get into stars again, until the whole table is stars. The sum of the nodes over all edges falls in
+    each round, so it ends; rounds are about log2 of the longest path at most, and few where tasks see many
+    edges. The smallest neighbour comes from an aggregate, and edges of a node with more than ``HUB`` of them
+    stay where they are for it. A round's table is deleted once the next is written.
     """
-    own = _contracted(edges.where("u != v").distinct())
-    while not _are_stars(own):
+    own, tasks = _contracted(edges.where("u != v").distinct())
+    while tasks > 1 and not _are_stars(own):
+        before = own
         both = own.union(own.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u != v").distinct()
+        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count(F.lit(1)).alias("degree"))
+        large = _with_least(both, "u", least).where("v > u").select(F.col("m").alias("u"), "v").where("u != v").distinct()
         # small star: u < v, so a node's smaller neighbours are the rows in which it stands on the right
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(least, "v")
+        least = large.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("degree"))
+        small = _with_least(large, "v", least)
         hung = small.select(F.col("m").alias("u"), "v").union(small.select(F.col("m").alias("u"), F.col("u").alias("v")))
-        own = _contracted(hung.where("u != v").distinct())
+        own, tasks = _contracted(hung.where("u != v").distinct())
+        release(before)
     roots = own.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()
     return own.select(F.col("v").alias("node"), F.col("u").alias("component")).union(roots)

@@ -1,6 +1,6 @@
 """The queries of this package and their SQL, by name."""
 
-from . import bitplanes, context_tree, exact_dedup, fingerprint, mixing, packing, pii, quality, shingle_join, url_filter, whitening
+from . import bitplanes, context_tree, exact_dedup, fingerprint, mixing, packing, pii, projection_forest, quality, shingle_join, spelling, url_filter, whitening
 
 QUERIES = {
     "op1_pii": pii.pii,
@@ -13,6 +13,8 @@ QUERIES = {
     "op8_lm_scoring": context_tree.lm_scores,
     "op9_mixing": mixing.mixing,
     "op10_best_fit_packing": packing.best_fit_packing,
+    "op11_spelling_variants": spelling.spelling_variants,
+    "op12_near_embeddings": projection_forest.near_embeddings,
     "op13_whitening": whitening.whitening,
 }
-SQL = {"op6_exact_dedup": exact_dedup.SQL}
+SQL = {"op6_exact_dedup": exact_dedup.SQL, "op12_near_embeddings": projection_forest.SQL}
