@@ -63,7 +63,7 @@ def _contracted(edges: DataFrame) -> tuple[DataFrame, int]:
 def _are_stars(edges: DataFrame) -> bool:
     """Whether each node hangs on one root at most, and no root on any."""
     twice = edges.groupBy("v").agg(F.count(F.lit(1)).alias("hangs")).where("hangs > 1")
-    return twice.isEmpty() and edges.select("u").distinct().join(edges, F.col("u") == edges["v"], "left_semi").isEmpty()
+    return twice.isEmpty() and edges.select(F.col("u").alias("root")).distinct().join(edges.select("v"), F.col("root") == F.col("v"), "left_semi").isEmpty()
 
 
 def _with_least(edges: DataFrame, node: str, least: DataFrame) -> DataFrame:

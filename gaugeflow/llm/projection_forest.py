@@ -103,7 +103,7 @@ def _learner(cosine: float, spill: bool, leaf: int):
     """From a node's sample to ``centres`` (balls) and ``cuts``: a threshold and a half-width for each inner
     node of the next levels, in heap order; NaN ends a branch."""
 
-    def learn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def learn(key, pdf):
         node, v, row = int(key[0]), _points(pdf["v"]), pdf["row"].to_numpy()
         centres = [] if spill else _balls(v, cosine)
         rest = np.ones(len(v), bool)
@@ -164,7 +164,7 @@ def _router(cosine: float):
             heads = np.flatnonzero(batch.column("row").is_null().to_numpy(zero_copy_only=False))
             for a, b in zip([-1, *heads], [*heads, batch.num_rows]):
                 if a >= 0:
-                    head = [int(batch.column("node")[a].as_py()), *(np.array(batch.column(c)[a].as_py()) for c in ("centres", "cuts"))]
+                    head = [int(batch.column("node")[a].as_py()), *(np.array(batch.column(c)[a].as_py(), float) for c in ("centres", "cuts"))]
                 part = batch.slice(a + 1, b - a - 1)
                 if not part.num_rows:
                     continue
