@@ -46,6 +46,23 @@ def _points(column) -> np.ndarray:
     return cells.reshape(len(column), -1)
 
 
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors of length 1; null where one has no direction."""
+    for batch in batches:
+        lists = batch.column("v")
+        sizes = lists.value_lengths().fill_null(0).to_numpy()
+        out: list[np.ndarray | None] = [None] * len(lists)
+        for size in np.unique(sizes[sizes > 0]):
+            rows = np.flatnonzero(sizes == size)
+            v = _points(lists.take(pa.array(rows)))  # a null entry becomes NaN
+            top = np.abs(v).max(axis=1)
+            sound = np.isfinite(top) & (top > 0)
+            v = v[sound] / top[sound, None]  # keeps squares in range
+            for row, unit in zip(rows[sound], v / np.linalg.norm(v, axis=1)[:, None]):
+                out[row] = unit
+        yield pa.record_batch([batch.column("key"), pa.array(out, pa.list_(pa.float64()))], names=["key", "v"])
+
+
 def _directions(node: int, levels: int, d: int) -> np.ndarray:
     """Unit directions of a node's next levels, one per level, from the node's number alone."""
     rng = np.random.default_rng(int(node) & ((1 << 63) - 1))
@@ -325,13 +342,9 @@ def link(
     if key in ("n_links", "component_id", "kept"):
         raise ValueError(f"the key needs a name other than {key}")
     ship_package(df.sparkSession)
+    kind = df.schema[key].dataType.simpleString()
     cells = F.transform(F.col(f"`{vector}`"), lambda c: c.cast("double"))
-    sound = F.forall(cells, lambda c: F.coalesce(F.abs(c) < F.lit(math.inf), F.lit(False)))
-    top = F.aggregate(cells, F.lit(0.0), lambda acc, c: F.greatest(acc, F.abs(c)))  # keeps squares in range
-    scaled = F.transform(cells, lambda c: c / top)
-    size = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda acc, c: acc + c * c))
-    unit = F.when(sound & (top > 0), F.transform(scaled, lambda c: c / size))
-    rows = df.select(F.col(f"`{key}`").alias("key"), unit.alias("v"))
+    rows = df.select(F.col(f"`{key}`").alias("key"), cells.alias("v")).mapInArrow(_units, f"key {kind}, v array<double>")
     rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
     lengths = rows.where("v IS NOT NULL").groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("m"))
     d = lengths.agg(F.max_by("d", F.struct("m", "d"))).first()[0]
