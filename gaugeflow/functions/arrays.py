@@ -51,6 +51,56 @@ def reshape(col: Column, rows: int, columns: int) -> Column:
     return F.when(col.isNull() | (F.size(col) == rows * columns), shaped).otherwise(F.raise_error(message))
 
 
+#: Centres up to which each is met by every row.
+FEW_CENTRES = 16
+
+
+def _centre_groups(table):
+    """``(pivots, radii, members)``: centres by the nearest of about as many pivots as members, farthest first."""
+    import numpy as np
+
+    if len(table) <= FEW_CENTRES:
+        return table[:1], np.array([np.inf]), [np.arange(len(table))]
+    away, own, pivots = np.full(len(table), np.inf), np.zeros(len(table), int), []
+    for number in range(int(len(table) ** 0.5)):
+        pivots.append(int(away.argmax()))
+        distance = np.sqrt(((table - table[pivots[-1]]) ** 2).sum(axis=1))
+        closer = distance < away
+        own[closer], away[closer] = number, distance[closer]
+    members = [np.flatnonzero(own == g) for g in range(len(pivots))]
+    return table[pivots], np.array([away[m].max() if len(m) else -np.inf for m in members]), members
+
+
+def nearest_of(points, table, groups):
+    """``(number, squared distance, distances measured)`` of the nearest centre per row, ties to the lowest
+    number. A group of centres is met only by rows that its pivot and radius let have a nearer one in it."""
+    import numpy as np
+
+    pivots, radii, members = groups
+    best, least, measured = np.zeros(len(points), "int32"), np.full(len(points), np.inf), 0
+
+    def meet(group, rows):
+        nonlocal measured
+        for number in members[group]:
+            distance = ((points[rows] - table[number]) ** 2).sum(axis=1)
+            closer = (distance < least[rows]) | ((distance == least[rows]) & (number < best[rows]))
+            best[rows[closer]], least[rows[closer]] = number, distance[closer]
+        measured += len(rows) * len(members[group])
+
+    if len(members) == 1:
+        meet(0, np.arange(len(points)))
+        return best, least, measured
+    away = np.sqrt(np.stack([((points - p) ** 2).sum(axis=1) for p in pivots], axis=1))
+    measured += away.size
+    first = away.argmin(axis=1)
+    for group in np.unique(first):
+        meet(group, np.flatnonzero(first == group))
+    for group in range(len(members)):
+        bound = (away[:, group] - radii[group]) * (1 - 1e-9)  # equal distances must not be lost to rounding
+        meet(group, np.flatnonzero((first != group) & (np.maximum(bound, 0) ** 2 <= least)))
+    return best, least, measured
+
+
 def nearest_centre(vector: Column, centres: Sequence[Sequence[float]]) -> Column:
     """``struct(cluster, distance2)``: nearest fixed centre by squared Euclidean distance, ties to the
     lowest number. Null for a null vector or one with a null element; a wrong length fails the job.
@@ -58,13 +108,15 @@ def nearest_centre(vector: Column, centres: Sequence[Sequence[float]]) -> Column
     Works on whole Arrow batches. Interpreted higher-order functions take several times as long, and
     one compiled expression per coordinate exceeds what can be compiled. The centres are a fitted model
     that the driver holds; they go to each executor once, and a batch meets them one by one, so memory
-    does not grow with their number.
+    does not grow with their number. Many centres are grouped around pivots once, and the triangle
+    inequality spares a row the groups that cannot hold its nearest one (see :func:`nearest_of`).
     """
     import numpy as np
 
     table = np.asarray(centres, dtype="float64")
     if table.ndim != 2 or not table.size:
         raise ValueError("need at least one centre, all of one length")
+    groups = _centre_groups(table)
 
     @F.arrow_udf("struct<cluster: int, distance2: double>")
     def nearest(vectors: pa.Array) -> pa.Array:
@@ -74,11 +126,8 @@ def nearest_centre(vector: Column, centres: Sequence[Sequence[float]]) -> Column
             raise ValueError(f"vector length differs from the centre length {table.shape[1]}")
         cells = vectors.filter(pa.array(usable)).flatten().to_numpy(zero_copy_only=False)
         points = cells.astype("float64").reshape(-1, table.shape[1])
-        best, least = np.zeros(len(points), "int32"), ((points - table[0]) ** 2).sum(axis=1)
-        for number, centre in enumerate(table[1:], 1):
-            distance = ((points - centre) ** 2).sum(axis=1)
-            closer = distance < least
-            best[closer], least[closer] = number, distance[closer]
+        best, least, _ = nearest_of(points, table, groups)
+        least[np.isnan(points).any(axis=1)] = np.nan
         cluster, distance2 = np.zeros(len(usable), "int32"), np.full(len(usable), np.nan)
         cluster[usable], distance2[usable] = best, least
         missing = np.isnan(distance2)

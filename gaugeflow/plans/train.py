@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 
 from .. import presets
-from ..learning import clustering, comparison, pipelines, split
+from ..learning import clustering, comparison, moments, pipelines, split
 from ..operators import filters, quality, stats
 from ..operators.schema import feature_columns
 from ..sources.records import write_json
@@ -37,6 +37,9 @@ def train_and_compare(
 ) -> tuple[dict[str, PipelineModel], dict]:
     """Cross-validated elastic net and random forest on the same split, compared on the test rows.
 
+    The net's folds and settings are all solved from one scan (:func:`moments.search`); the best setting is
+    then fitted as a pipeline on the training rows.
+
     Features are the numeric columns without key, target and exclusions. Split and folds are hashes of
     ``key``. The winner is the forest only if its test RMSE is strictly lower. Models and the metrics
     record are saved when paths are given. Returns the models and the record.
@@ -49,16 +52,19 @@ def train_and_compare(
         train, test = split.hash_split(rows, key)
         total, n_train = rows.count(), train.count()
 
-        net, trees = pipelines.elastic_net(target), pipelines.forest_regressor(target)
-        setups = {
-            "LinearRegression": (pipelines.pipeline(features, net), pipelines.elastic_net_grid(net, *elastic)),
-            "RandomForestRegressor": (pipelines.pipeline(features, trees), pipelines.forest_grid(trees, *forest)),
-        }
+        def best_net() -> PipelineModel:
+            found = min(moments.search(train, features, target, "fold", *elastic), key=lambda s: s.rmse)
+            net = pipelines.elastic_net(target).setRegParam(found.penalty).setElasticNetParam(found.mix)
+            return pipelines.pipeline(features, net).fit(train)
+
+        def best_forest() -> PipelineModel:
+            trees = pipelines.forest_regressor(target)
+            pipeline, grid = pipelines.pipeline(features, trees), pipelines.forest_grid(trees, *forest)
+            return pipelines.cross_validate(pipeline, grid, train, target, "fold", folds, parallelism).bestModel
+
         models, metrics = {}, {}
-        for name, (pipeline, grid) in setups.items():
-            search = lambda p=pipeline, g=grid: pipelines.cross_validate(p, g, train, target, "fold", folds, parallelism)
-            fitted, seconds = _timed(search)
-            models[name] = fitted.bestModel
+        for name, search in (("LinearRegression", best_net), ("RandomForestRegressor", best_forest)):
+            models[name], seconds = _timed(search)
             measured = stats.regression_metrics(models[name].transform(test), target, "prediction").first()
             metrics[name] = {m: measured[m] for m in comparison.HIGHER_IS_BETTER} | {"train_time_sec": seconds}
             if model_path:
@@ -154,7 +160,7 @@ def train_service_models(
         vectors.unpersist()
     models["clustering"] = PipelineModel([*prepared.stages, fitted])
     record["clustering"] = {
-        "features": list(columns), "k": k, "inertia": fitted.summary.trainingCost,
+        "features": list(columns), "k": k, "inertia": fitted.training_cost(),
         "internal_label_map": {str(r["cluster"]): r["rank"] for r in ranks},
         "cluster_labels": {str(i): presets.CLUSTER_NAMES.get(i, f"Cluster {i}") for i in range(k)},
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import presets
 from ..functions.arrays import nearest_centre
 from ..functions.labels import lookup
-from ..learning import clustering, comparison, pipelines, scaling, split
+from ..learning import clustering, comparison, moments, pca, pipelines, scaling, split
 from ..operators import filters, scoring, stats
 from ..operators.quality import binarise_by_median
 from ..plans import predict
@@ -88,21 +89,74 @@ def l4_all(spark, sf):
     return rounded(pipelines.coefficients(spark, model), "coefficient", digits=4)
 
 
-@query("l5_elastic_net_search")
+PENALTIES, MIXES = (0.01, 0.1), (0.0, 0.5)
+KEYED = f"""z AS (SELECT CAST({_hash_sql("(l_orderkey || '-' || l_linenumber)", 3, 8)} AS INTEGER) AS fold, {PRICE} AS y, l_quantity AS a, l_discount AS b, l_tax AS c FROM lineitem)"""
+
+
+def _net_sql(penalties, mixes):
+    """Coordinate descent on the correlations of the rows outside each fold, as a recursive query: table
+    ``fitted`` with weights per fold and setting, table ``errors`` with the left-out error."""
+    pull = {"a": ("b", "c"), "b": ("a", "c"), "c": ("a", "b")}
+    steps, fresh = [], set()
+    for j, others in pull.items():
+        rest = " - ".join(f"r_{''.join(sorted(j + o))} * {'n' if o in fresh else 'w'}{o}" for o in others)
+        steps.append(f"sign(r_{j}y - {rest}) * greatest(abs(r_{j}y - {rest}) - l1, 0) / (1 + l2) AS n{j}")
+        fresh.add(j)
+    moments = ", ".join([f"avg({c}) AS m{c}, stddev_pop({c}) AS s{c}" for c in "yabc"] + [f"corr({i}, {j}) AS r_{i}{j}" for i, j in ("ay", "by", "cy", "ab", "ac", "bc")])
+    grid = ", ".join(f"({p}, {m})" for p in penalties for m in mixes)
+    line = " + ".join(f"w{j} * ({j} - m{j}) / s{j}" for j in "abc")
+    return f"""{KEYED},
+      g AS (SELECT *, penalty * mix / sy AS l1, penalty * (1 - mix) / sy AS l2 FROM
+        (SELECT left_out, {moments} FROM z JOIN (SELECT DISTINCT fold AS left_out FROM z) f ON fold <> left_out GROUP BY left_out),
+        (VALUES {grid}) t(penalty, mix)),
+      descent AS (SELECT left_out, penalty, mix, 0 AS i, 0.0::DOUBLE AS wa, 0.0::DOUBLE AS wb, 0.0::DOUBLE AS wc FROM g
+        UNION ALL SELECT left_out, penalty, mix, i + 1, na, nb, nc FROM
+          (SELECT left_out, penalty, mix, i, {', '.join(steps)} FROM descent JOIN g USING (left_out, penalty, mix) WHERE i < 40)),
+      errors AS (SELECT left_out, penalty, mix, sqrt(avg(pow(y - my - sy * ({line}), 2))) AS rmse
+        FROM z JOIN g ON fold = left_out JOIN (SELECT * FROM descent WHERE i = 40) USING (left_out, penalty, mix) GROUP BY ALL)"""
+
+
+def _net_search(spark, sf):
+    lines = table(spark, sf, "lineitem").withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    folded = split.with_fold(lines.select("key", PRICE, *LINE_FEATURES), "key", 3)
+    return moments.search(folded, LINE_FEATURES, PRICE, "fold", PENALTIES, MIXES)
+
+
+@query(
+    "l5_elastic_net_search",
+    f"WITH RECURSIVE {_net_sql(PENALTIES, MIXES)} SELECT CAST(penalty AS DOUBLE) AS reg_param, CAST(mix AS DOUBLE) AS elastic_net, round(avg(rmse), 2) AS cv_rmse FROM errors GROUP BY penalty, mix",
+)
 def l5(spark, sf):
-    net = pipelines.elastic_net(PRICE)
-    lines = table(spark, sf, "lineitem")
-    keyed = lines.withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
-    folded = split.with_fold(keyed.select("key", PRICE, *LINE_FEATURES), "key", 3).persist()
-    try:
-        grid = pipelines.elastic_net_grid(net)
-        search = pipelines.cross_validate(pipelines.pipeline(LINE_FEATURES, net), grid, folded, PRICE, "fold", parallelism=8)
-    finally:
-        folded.unpersist()
-    rows = [(p[net.regParam], p[net.elasticNetParam], float(m)) for p, m in zip(grid, search.avgMetrics)]
+    rows = [(s.penalty, s.mix, s.rmse) for s in _net_search(spark, sf)]
     return rounded(spark.createDataFrame(rows, "reg_param double, elastic_net double, cv_rmse double"), "cv_rmse", digits=2)
 
 
+@query(
+    "l13_parameter_grid",
+    f"""WITH RECURSIVE {_net_sql(PENALTIES, MIXES)} SELECT CAST(dense_rank() OVER (ORDER BY penalty, mix) - 1 AS INTEGER) AS setting,
+        CAST(penalty AS DOUBLE) AS reg_param, CAST(mix AS DOUBLE) AS elastic_net, left_out AS fold, round(rmse, 4) AS rmse FROM errors""",
+)
+def l13(spark, sf):
+    """The grid as a table: each setting's error on each left-out fold."""
+    rows = [(i, s.penalty, s.mix, fold, e) for i, s in enumerate(_net_search(spark, sf)) for fold, e in enumerate(s.fold_rmse)]
+    return rounded(spark.createDataFrame(rows, "setting int, reg_param double, elastic_net double, fold int, rmse double"), "rmse", digits=4)
+
+
+GIVEN = (1500.0, -200.0, 300.0), 100.0
+
+
+@query(
+    "l5_fold_errors",
+    f"WITH {KEYED} SELECT fold, count(*) AS n, round(sqrt(avg(pow(y - ({GIVEN[1]} + a * {GIVEN[0][0]} + b * {GIVEN[0][1]} + c * {GIVEN[0][2]}), 2))), 4) AS rmse FROM z GROUP BY fold",
+)
+def l5_errors(spark, sf):
+    """Error of given coefficients on each fold, from the fold's moments alone."""
+    lines = table(spark, sf, "lineitem").withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    folds = moments.fold_moments(split.with_fold(lines.select("key", PRICE, *LINE_FEATURES), "key", 3), LINE_FEATURES, PRICE, "fold")
+    rows = [(fold, int(m.n), (moments.squared_error(m, *GIVEN) / m.n) ** 0.5) for fold, m in folds.items()]
+    return rounded(spark.createDataFrame(rows, "fold int, n long, rmse double"), "rmse", digits=4)
+
+
 def _grouped_events(spark, sf, group):
     """Events with features ``f0`` to ``f3`` that each tell the groups apart by a wide gap."""
     shift = group.cast("double") * 100
@@ -167,7 +221,7 @@ def l9(spark, sf):
     vectors = _shifted(spark, sf, lambda x: group * 1000 + x).withColumn("at", F.get("embedding", F.lit(0)))
     vectors = _with_vectors(vectors).persist()
     try:
-        model = clustering.fit_kmeans(vectors, 4, seeds=range(42, 52), parallelism=8)
+        model = clustering.fit_kmeans(vectors, 4, seeds=range(42, 52))
     finally:
         vectors.unpersist()
     found = model.transform(vectors).withColumnRenamed("prediction", "found")
@@ -186,7 +240,7 @@ def l10(spark, sf):
     """Four distinct points, each ten times as far as the one before."""
     at = F.pow(F.lit(10.0), F.col("vec_id") % 4)
     vectors = _with_vectors(_shifted(spark, sf, lambda x: at))
-    return rounded(clustering.elbow(vectors, seeds=range(42, 52), parallelism=8), "inertia", digits=3)
+    return rounded(clustering.elbow(vectors, seeds=range(42, 52)), "inertia", digits=3)
 
 
 VECTOR_CELLS = "SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings"
@@ -213,6 +267,29 @@ def l11(spark, sf):
     return found.select("vec_id", *[F.round(F.abs(F.col(c)), 4).alias(c) for c in ("pc1", "pc2")])
 
 
+@query(
+    "l11_pca_all",
+    f"""WITH cells AS ({VECTOR_CELLS}), s AS (SELECT i, avg(x) AS m, stddev_samp(x) AS d FROM cells GROUP BY i)
+        SELECT vec_id, round(sum(pow((x - m) / d, 2)), 4) AS norm2, 64.0::DOUBLE AS total, true AS falling, true AS orthonormal, 0.0::DOUBLE AS mixed
+        FROM cells JOIN s USING (i) GROUP BY vec_id""",
+)
+def l11_all(spark, sf):
+    """All components of all 64 standardised columns: a rotation, so a row keeps its length, and the
+    coordinates have the variances of the components and no correlation."""
+    wide = pipelines.with_features(table(spark, sf, "embeddings"), "embedding", DIMS)
+    scaled = Pipeline(stages=[pipelines.assembler(DIMS), pipelines.scaler()]).fit(wide).transform(wide).select("vec_id", "features")
+    found = pca.fit_components(scaled, 64)
+    d, v = found.directions, found.variances
+    rows = pca.project(scaled, found)
+    pairs = [(0, 1), (1, 2), (10, 40), (62, 63)]
+    mixed = rows.agg(F.greatest(*[F.abs(F.corr(F.get("pc", F.lit(i)), F.get("pc", F.lit(j)))) for i, j in pairs])).scalar()
+    norm2 = F.aggregate("pc", F.lit(0.0), lambda acc, c: acc + c * c)
+    return rows.select(
+        "vec_id", F.round(norm2, 4).alias("norm2"), F.lit(round(float(v.sum()), 6)).alias("total"), F.lit(bool((v[:-1] >= v[1:]).all())).alias("falling"),
+        F.lit(bool(abs(d.T @ d - np.eye(64)).max() < 1e-9)).alias("orthonormal"), F.round(mixed, 6).alias("mixed"),
+    )
+
+
 @query("l12_fold_sizes", f"SELECT CAST({_hash_sql('o_orderkey', 3, 8)} AS INTEGER) AS fold, count(*) AS n FROM orders GROUP BY 1")
 def l12(spark, sf):
     folded = split.with_fold(table(spark, sf, "orders"), "o_orderkey", 3)

@@ -184,3 +184,29 @@ def h16_panel(spark, sf):
     events = table(spark, sf, "events").select("event_id", "ts", "value", (F.col("value") * 20).alias("co"))
     panel = scoring.panel_rules(events, "value", "co", "ts")
     return panel.select("event_id", "rush.is_rush", F.col("co_class.label").alias("co_label"), "cluster", "health_score")
+
+
+PANEL_RUSH = "(hour(ts) BETWEEN 7 AND 9 OR hour(ts) BETWEEN 17 AND 19)"
+
+
+@query(
+    "h16_panel_full",
+    f"""SELECT event_id, {PANEL_RUSH} AS is_rush, CASE WHEN {PANEL_RUSH} THEN 'Active Rush Hour' ELSE 'No Rush Hour' END AS rush_label,
+        CASE WHEN co > 1000 THEN 'High CO Level' ELSE 'Normal CO' END AS co_label, co > 1000 AS high,
+        printf('%.2f', CASE WHEN (co * 0.003e0 * 8) % 2 = 1 THEN co * 0.003e0 + 0.001e0 ELSE co * 0.003e0 END) AS benzene,
+        CASE WHEN aqi > 80 THEN '🏭 Cluster 2 — Heavy Pollution' WHEN aqi > 40 THEN '🚗 Cluster 1 — Traffic' ELSE '🌿 Cluster 0 — Clean Air' END AS cluster,
+        CASE WHEN aqi <= 20 THEN 'Good' WHEN aqi <= 40 THEN 'Fair' WHEN aqi <= 60 THEN 'Moderate' WHEN aqi <= 80 THEN 'Poor' WHEN aqi <= 100 THEN 'Very Poor' ELSE 'Extremely Poor' END AS category,
+        score AS health_score, CASE WHEN score > 80 THEN 'Hazardous' WHEN score > 50 THEN 'Unhealthy' WHEN score > 20 THEN 'Moderate' ELSE 'Good' END AS health_label,
+        CASE WHEN score < 20 THEN 'good' WHEN score < 40 THEN 'moderate' WHEN score < 60 THEN 'unhealthy' WHEN score < 80 THEN 'very-unhealthy' ELSE 'hazardous' END AS severity
+        FROM (SELECT *, least(100, CAST(floor(aqi * 0.8e0 + 0.5e0) AS BIGINT)) AS score FROM
+          (SELECT event_id, ts, CAST(event_id % 151 AS DOUBLE) AS aqi, value * 20 + event_id % 13 AS co FROM events))""",
+)
+def h16_panel_full(spark, sf):
+    """Every field of the panel; air quality and CO vary apart."""
+    readings = table(spark, sf, "events").select(
+        "event_id", "ts", (F.col("event_id") % 151).cast("double").alias("aqi"), (F.col("value") * 20 + F.col("event_id") % 13).alias("co"))
+    panel = scoring.panel_rules(readings, "aqi", "co", "ts")
+    return panel.select(
+        "event_id", "rush.is_rush", F.col("rush.label").alias("rush_label"), F.col("co_class.label").alias("co_label"), "co_class.high",
+        "benzene", "cluster", "category", "health_score", "health_label", "severity",
+    )
