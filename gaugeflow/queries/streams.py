@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from ..sources.readings import stream_table
-from ..streaming.latest import maintain_latest, read_latest
+from ..streaming.latest import follow_latest, maintain_latest, read_followed, read_latest
 from ..streaming.rejects import route_malformed
 from ..streaming.scoring import score_stream
 from .ranking import LATEST_SQL
@@ -44,8 +44,40 @@ def t2(spark, sf):
     return good.unionByName(bad)
 
 
+def _landed(spark, sf, out, parts):
+    """Events as files that land one after another; part ``i`` has those with ``event_id % 4 = i``, so that
+    most users have late rows in later files."""
+    events = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    for i in parts:
+        events.where(F.col("event_id") % 4 == i).coalesce(1).write.parquet(f"{out}/in/part={i}")
+    return stream_table(spark, f"{out}/in/part=*", events.schema, files_per_trigger=1)
+
+
+def _followed(spark, sf):
+    """Two runs of the stream, the second from the checkpoint of the first; the table's folder."""
+    out = scratch_dir(spark, "t3")
+    for parts in ((0, 1), (2, 3)):
+        source = _landed(spark, sf, out, parts)
+        follow_latest(source, ["user_id"], ["ts", "event_id"], f"{out}/table", f"{out}/checkpoint", fold_every=3).awaitTermination()
+    return f"{out}/table"
+
+
 @query("t3_latest_per_location", LATEST_SQL)
 def t3(spark, sf):
+    return read_followed(spark, _followed(spark, sf), ["user_id"], ["ts", "event_id"]).drop("ts")
+
+
+@query("t3_changed_keys", "SELECT CAST(event_id % 4 AS INTEGER) AS batch, count(DISTINCT user_id) AS changed FROM events GROUP BY 1")
+def t3_changed(spark, sf):
+    """What a batch writes: the keys it met, not the table."""
+    path = _followed(spark, sf)
+    rows = spark.read.option("basePath", path).parquet(f"{path}/changed=*")
+    return rows.groupBy(F.col("changed").cast("int").alias("batch")).agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("n", "changed")
+
+
+@query("t3_latest_versions", LATEST_SQL)
+def t3_versions(spark, sf):
+    """The form that keeps whole versions of the table for readers."""
     out = scratch_dir(spark, "t3")
     source = event_stream(spark, sf).select("user_id", "ts", "event_id", "event_type", "value")
     maintain_latest(source, ["user_id"], ["ts", "event_id"], f"{out}/table", f"{out}/checkpoint").awaitTermination()

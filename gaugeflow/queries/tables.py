@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clock, numbers
-from ..operators import changes, filters, quality, schema
+from ..operators import changes, filters, quality, schema, snapshots
 from ..operators.schema import select_columns
+from ..session import scratch_dir
 from .registry import CHANNELS, DAILY, WEEKLY, daily, query, rounded, rounded_sql, table, weekly
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -243,14 +244,49 @@ SELECT l.k AS c_custkey, coalesce(u.bal, l.bal) AS c_acctbal, coalesce(u.seg, l.
 FROM live l LEFT JOIN upd u ON u.k = l.k"""
 
 
-@query("u7_apply_changes", CHANGES_SQL)
-def u7(spark, sf):
+def _order_changes(spark, sf):
     status = F.col("o_orderstatus")
-    batch = table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").alias("seq"),
         F.when(status == "F", "update").when(status == "O", "delete").otherwise("insert").alias("op"),
         F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice")).alias("c_acctbal"),
         F.col("o_orderpriority").alias("c_mktsegment"),
     )
+
+
+@query("u7_apply_changes", CHANGES_SQL)
+def u7(spark, sf):
     base = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
-    return changes.apply_changes(base, batch, "c_custkey")
+    return changes.apply_changes(base, _order_changes(spark, sf), "c_custkey")
+
+
+def _batch_sql(n, base, changes):
+    """Table ``s<n>``: the rows of ``base`` after the changes of the orders that ``changes`` names."""
+    return f"""
+ ch{n} AS (SELECT o_custkey AS k, o_orderkey AS seq,
+                  CASE o_orderstatus WHEN 'F' THEN 'update' WHEN 'O' THEN 'delete' ELSE 'insert' END AS op,
+                  CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS bal, o_orderpriority AS seg FROM orders WHERE {changes}),
+ reset{n} AS (SELECT k, max(seq) AS at, arg_max(op, seq) AS op FROM ch{n} WHERE op <> 'update' GROUP BY k),
+ live{n} AS (SELECT k, bal, seg, -1 AS since FROM {base} WHERE k NOT IN (SELECT k FROM reset{n})
+             UNION ALL SELECT c.k, c.bal, c.seg, c.seq FROM ch{n} c JOIN reset{n} r ON c.k = r.k AND c.seq = r.at WHERE r.op = 'insert'),
+ upd{n} AS (SELECT l.k, arg_max(c.bal, c.seq) FILTER (WHERE c.bal IS NOT NULL) AS bal, arg_max(c.seg, c.seq) FILTER (WHERE c.seg IS NOT NULL) AS seg
+            FROM live{n} l JOIN ch{n} c ON c.k = l.k AND c.op = 'update' AND c.seq > l.since GROUP BY l.k),
+ s{n} AS (SELECT l.k, coalesce(u.bal, l.bal) AS bal, coalesce(u.seg, l.seg) AS seg FROM live{n} l LEFT JOIN upd{n} u ON u.k = l.k)"""
+
+
+@query(
+    "u7_commit_changes",
+    f"""WITH s0 AS (SELECT c_custkey AS k, c_acctbal AS bal, c_mktsegment AS seg FROM customer),
+        {_batch_sql(1, 's0', 'o_custkey % 7 < 5')}, {_batch_sql(2, 's1', 'o_custkey % 7 >= 5 OR o_orderkey % 5 = 0')}
+        SELECT CAST(0 AS INTEGER) AS snapshot, k AS c_custkey, bal AS c_acctbal, seg AS c_mktsegment FROM s0
+        UNION ALL SELECT 1, k, bal, seg FROM s1 UNION ALL SELECT 2, k, bal, seg FROM s2""",
+)
+def u7_commits(spark, sf):
+    """Two batches committed to a table; each snapshot still reads as it was."""
+    path, customer, key = scratch_dir(spark, "u7"), F.col("c_custkey"), F.col("seq")
+    batch = _order_changes(spark, sf)
+    snapshots.create_table(table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment"), path, "c_custkey")
+    for rows in (batch.where(customer % 7 < 5), batch.where((customer % 7 >= 5) | (key % 5 == 0))):
+        snapshots.commit_changes(spark, path, rows)
+    read = [snapshots.read_table(spark, path, n).withColumn("snapshot", F.lit(n)) for n in range(3)]
+    return read[0].unionByName(read[1]).unionByName(read[2])

@@ -37,6 +37,11 @@ def stream_readings(
     return reader.json(folder).select(*top, "current.*")
 
 
-def stream_table(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet") -> DataFrame:
-    """Parquet files of one folder as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def stream_table(
+    spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet", files_per_trigger: int | None = None
+) -> DataFrame:
+    """Parquet files of one folder (or of those that a pattern names) as a stream."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(folder)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.sources.readings import stream_readings
 from gaugeflow.sources.records import split_malformed
-from gaugeflow.streaming.latest import maintain_latest, read_latest
+from gaugeflow.streaming.latest import follow_latest, maintain_latest, read_followed, read_latest
 from gaugeflow.streaming.rejects import route_malformed
 from gaugeflow.streaming.scoring import score_stream
 
@@ -70,3 +70,50 @@ def test_malformed_records(spark, tmp_path):
     paths = [str(tmp_path / p) for p in ("good", "bad", "ck")]
     route_malformed(source, "body", "k long", "parsed", *paths).awaitTermination()
     assert spark.read.parquet(paths[0]).count() == 3 and spark.read.parquet(paths[1]).count() == 2
+
+
+def test_followed_latest_writes_only_changed_keys(spark, tmp_path):
+    inbox, table, checkpoint = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "ck")
+    inbox.mkdir()
+
+    def run(fold_every=32):
+        source = stream_readings(spark, str(inbox), "location int").select("location", "time", "european_aqi")
+        follow_latest(source, ["location"], ["time"], table, checkpoint, fold_every).awaitTermination()
+        return sorted((tuple(r) for r in read_followed(spark, table, ["location"], ["time"]).collect()), key=lambda r: (r[0] is None, r[0]))
+
+    def written(n):
+        return sorted(tuple(r) for r in spark.read.parquet(f"{table}/changed={n}").collect())
+
+    land(inbox, "a.json", [reading(i, "t5", i) for i in range(100)])
+    assert len(run()) == 100
+    land(inbox, "b.json", [reading(1, "t4", 99), reading(2, "t6", 7), reading(2, "t3", 0)])  # late, new, late
+    found = run()  # the state comes back from the checkpoint
+    assert written(1) == [(1, "t5", 1.0), (2, "t6", 7.0)]
+    assert found[:4] == [(0, "t5", 0.0), (1, "t5", 1.0), (2, "t6", 7.0), (3, "t5", 3.0)] and len(found) == 100
+    land(inbox, "c.json", [reading(100, None, 1), reading(None, "t1", 2)])
+    assert len(run()) == 102
+    for i in range(3, 9):  # folds at batches 3, 5 and 7
+        land(inbox, f"d{i}.json", [reading(3, f"u{i}", i)])
+        assert (3, f"u{i}", float(i)) in [r[:3] for r in run(2)]
+    assert len(run(2)) == 102
+    left = sorted(p.name for p in (tmp_path / "t").iterdir())
+    assert left == ["base=5", "base=7", "changed=6", "changed=7", "changed=8"]
+
+
+def test_repeated_batch_gives_the_same_table(spark, tmp_path):
+    """A batch whose commit was lost runs again and writes the same folder."""
+    inbox, table, checkpoint = tmp_path / "in", str(tmp_path / "t"), tmp_path / "ck"
+    inbox.mkdir()
+
+    def run():
+        source = stream_readings(spark, str(inbox), "location int").select("location", "time", "european_aqi")
+        follow_latest(source, ["location"], ["time"], table, str(checkpoint)).awaitTermination()
+        return sorted((tuple(r) for r in read_followed(spark, table, ["location"], ["time"]).collect()), key=lambda r: (r[0] is None, r[0]))
+
+    land(inbox, "a.json", [reading(1, "t1", 1), reading(2, "t1", 2)])
+    run()
+    land(inbox, "b.json", [reading(1, "t2", 5)])
+    first = run()
+    for name in ("1", ".1.crc"):
+        (checkpoint / "commits" / name).unlink(missing_ok=True)
+    assert run() == first == [(1, "t2", 5.0), (2, "t1", 2.0)]
