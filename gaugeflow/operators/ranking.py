@@ -62,18 +62,22 @@ def number_rows(df: DataFrame, order: str | Sequence[str], output: str) -> DataF
     shared scratch space with their place in the range, and shifted by the size of the ranges before
     them. Only the range sizes (one row per task) meet in one window. A value that fills a range by
     itself is a task of its own at worst when it is the whole order; add a second column to split it.
+    The result reads that table; give it to :func:`~gaugeflow.session.release` when it is no longer needed.
     """
     columns = [F.col(c).asc_nulls_first() for c in ([order] if isinstance(order, str) else order)]
     ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
     # the high bits hold the partition, the low 33 bits the place within it
     placed = materialise(ranged.withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    path = placed._gaugeflow_path
     placed = placed.withColumn("__part", F.shiftright("__at", 33))
     sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
     within = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(1)
-    return (
+    numbered = (
         placed.join(offsets, "__part")
         .withColumn(output, (within + F.col("__offset")).cast("long"))
         .drop("__part", "__at", "__offset")
     )
+    numbered._gaugeflow_path = path
+    return numbered

@@ -6,10 +6,13 @@ import math
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import nearest_centre
+from ..session import ship_package
+from .partials import gather, partial_rows, rows_of
 from .schema import quoted
 
 
@@ -108,32 +111,56 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     )
 
 
+#: Bins of the density per bandwidth, and moments kept of a bin.
+KERNEL_BINS, MOMENTS = 16, 8
+
+
 def density(df: DataFrame, column: str, points: int = 200, cut: float = 0.0) -> DataFrame:
     """Gaussian kernel density ``(position, x, density)`` with Scott's bandwidth on an even grid.
 
-    The grid is fixed in size and reaches ``cut`` bandwidths past the extent. Rows are first merged
-    by value, then every task sums its kernels per grid point before anything is shuffled.
+    The grid is fixed in size and reaches ``cut`` bandwidths past the extent. Rows are binned, 16 bins to the
+    bandwidth, with the first eight moments of their distances to the bin's middle; a kernel seen from the
+    middle of a bin is a Hermite series in those distances, so no row meets the grid. Cutting the series after
+    eight terms changes the density by less than 1e-14 of a kernel's height (105 / 8! * 32^-8). There are
+    never more bins than rows or than 16 to each bandwidth of the extent.
     """
     value = F.col(quoted(column)).cast("double")
-    merged = df.filter(value.isNotNull()).groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    row = df.agg(F.count(value), F.stddev_samp(value), F.min(value), F.max(value)).first()
-    n, spread, low, high = row
+    value = F.when(~F.isnan(value), value)
+    n, spread, low, high = df.agg(F.count(value), F.stddev_samp(value), F.min(value), F.max(value)).first()
     schema = "position int, x double, density double"
     if not n or n < 2 or not spread:
         return df.sparkSession.createDataFrame([], schema)
+    ship_package(df.sparkSession)
     width = spread * n ** (-1 / 5)
     start, stop = low - cut * width, high + cut * width
-    step = (stop - start) / (points - 1)
-    scale = 1.0 / (n * width * math.sqrt(2 * math.pi))
-    grid = F.sequence(F.lit(0), F.lit(points - 1))
-    x = F.lit(start) + F.col("position") * F.lit(step)
-    gap = (x - F.col("v")) / F.lit(width)
-    return (
-        merged.select("v", "w", F.explode(grid).alias("position"))
-        .groupBy("position")
-        .agg(F.sum(F.col("w") * F.exp(-0.5 * gap * gap)).alias("mass"))
-        .select("position", x.alias("x"), (F.col("mass") * scale).alias("density"))
-    )
+    grid = start + np.arange(points) * ((stop - start) / (points - 1))
+    place = (value - F.lit(low)) / F.lit(width)  # in bandwidths
+    at = F.floor(place * KERNEL_BINS)
+    away = place - (at + 0.5) / KERNEL_BINS
+    rows = df.where(value.isNotNull()).select(at.alias("bin"), away.alias("t"))
+    powers = [F.count(F.lit(1)).cast("double"), F.sum("t"), *[F.sum(F.pow("t", F.lit(p))) for p in range(2, MOMENTS)]]
+    bins = rows.groupBy("bin").agg(F.array(*powers).alias("moments")).select(F.concat(F.array(F.col("bin").cast("double")), "moments").alias("x"))
+    factorial = np.array([math.factorial(p) for p in range(MOMENTS)], float)
+
+    def fold(batches):
+        mass = np.zeros(points)
+        for batch in batches:
+            cells = rows_of(batch)
+            for i in range(0, len(cells), 1024):
+                part = cells[i : i + 1024]
+                u = (grid[None] - low) / width - (part[:, :1] + 0.5) / KERNEL_BINS
+                before, hermite = np.zeros_like(u), np.ones_like(u)
+                series = np.zeros_like(u)
+                for p in range(MOMENTS):
+                    series += hermite * part[:, p + 1 : p + 2] / factorial[p]
+                    before, hermite = hermite, u * hermite - p * before
+                mass += (np.exp(-0.5 * u * u) * series).sum(axis=0)
+        yield partial_rows([(0, mass)])
+
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mass = gather(bins, fold, lambda _, parts: np.sum(parts, axis=0), tasks)[0]
+    curve = mass / (n * width * math.sqrt(2 * math.pi))
+    return df.sparkSession.createDataFrame([(i, float(x), float(d)) for i, (x, d) in enumerate(zip(grid, curve))], schema)
 
 
 def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:

@@ -66,16 +66,17 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
     return _wide(table(spark, sf, "events"), F.datediff(F.date_trunc("day", "ts"), F.lit("2023-12-31").cast("date")), 100)
 
 
-def _wide_sql(name: str, bucket: str, factor: int) -> str:
+def _wide_sql(name: str, period: str, factor: int) -> str:
     channels = ", ".join(f"avg(value) FILTER (WHERE event_type = '{c}') AS {c}" for c in CHANNELS)
+    key = f"user_id * {factor} + (period % {factor} + {factor}) % {factor} + CAST(floor(period / {factor}) AS BIGINT) * {factor * USERS}"
     return (
-        f"{name} AS (SELECT user_id, {bucket} AS period, user_id * {factor} + {bucket} AS reading_id, "
-        f"min(ts) AS first_ts, {channels} FROM events GROUP BY user_id, {bucket})"
+        f"{name} AS (SELECT user_id, period, {key} AS reading_id, min(ts) AS first_ts, {channels} "
+        f"FROM (SELECT *, CAST({period} AS BIGINT) AS period FROM events) GROUP BY user_id, period)"
     )
 
 
-WEEKLY = _wide_sql("weekly", "((day(ts) - 1) // 7)", 10)
-DAILY = _wide_sql("daily", "day(ts)", 100)
+WEEKLY = _wide_sql("weekly", "floor((CAST(date_trunc('week', ts) AS DATE) - DATE '2024-01-01') / 7)", 10)
+DAILY = _wide_sql("daily", "CAST(date_trunc('day', ts) AS DATE) - DATE '2023-12-31'", 100)
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:

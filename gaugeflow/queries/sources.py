@@ -8,6 +8,7 @@ from ..functions import bytes as byte_columns
 from ..operators import schema
 from ..session import scratch_dir
 from ..sources import delimited, fixed_width, markup, readings, records, text
+from ..sources.json_array import read_json_array_blocks
 from ..streaming.scoring import score_stream
 from .registry import query, table
 
@@ -76,6 +77,19 @@ def s5(spark, sf):
     return records.read_json_lines(spark, path, "event_id long, user_id long, event_type string, value double")
 
 
+@query("s5_json_array_file", "SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderpriority || ' }, {[\"' || o_orderkey AS odd FROM orders")
+def s5_file(spark, sf):
+    """All orders as one array in one file, over many lines, read in blocks."""
+    path = scratch_dir(spark, "s5")
+    odd = F.concat("o_orderpriority", F.lit(' }, {["'), F.col("o_orderkey").cast("string"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", odd.alias("odd"))
+    first, last = (orders.agg(f("o_orderkey")).scalar() for f in (F.min, F.max))
+    key, record = F.col("o_orderkey"), F.to_json(F.struct(*orders.columns), {"pretty": "true"})
+    line = F.concat(F.when(key == first, "[").otherwise(""), record, F.when(key == last, "]").otherwise(","))
+    text.write_text(orders.select("o_orderkey", line.alias("line")).orderBy("o_orderkey").coalesce(1).select("line"), path)
+    return read_json_array_blocks(spark, path, "o_orderkey long, o_totalprice double, o_orderpriority string, odd string")
+
+
 @query("s5_json_column", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def s5_column(spark, sf):
     parsed = records.parse_json(F.col("props"), "k long")
@@ -124,6 +138,22 @@ def s7_tables(spark, sf):
     return markup.table_rows(pages, "html", ["name", "nation"], ["c_custkey"])
 
 
+@query(
+    "s7_nested_tables",
+    """SELECT c_custkey, 1 AS position, c_name || ' ' || c_nationkey || ' inner' AS name, c_mktsegment || ' > x' AS segment FROM customer
+       UNION ALL SELECT c_custkey, 2, 'open ' || c_custkey, '' FROM customer""",
+)
+def s7_nested(spark, sf):
+    """A table in a cell, a sign in an attribute, rows and cells that are never closed."""
+    text = lambda c: F.col(c).cast("string")
+    page = F.concat(
+        F.lit("<body><!-- <table><tr><td>no</td></tr></table> --><TABLE title='a > b'><tr><th>Name<th>Segment<tr class=\"x>y\"><td>"), text("c_name"),
+        F.lit("<table><tr><td>"), text("c_nationkey"), F.lit("</td><td> inner</td></tr></table></td>\n<td data-x='</td>'>"), text("c_mktsegment"),
+        F.lit(" &gt; x</td></tr><tr><td>open "), text("c_custkey"), F.lit("<td></table><table><tr><td>h</td></tr><tr><td>other</td></tr></table>"),
+    )
+    return markup.nested_table_rows(table(spark, sf, "customer").select("c_custkey", page.alias("html")), "html", ["name", "segment"], ["c_custkey"])
+
+
 @query("s8_text_extension_scan", CUSTOMERS_WITH_GAPS)
 def s8(spark, sf):
     path = scratch_dir(spark, "s8")

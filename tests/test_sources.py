@@ -170,3 +170,23 @@ def test_streamed_readings_schema(spark, tmp_path):
     )
     df = readings.stream_readings(spark, str(tmp_path), "location long")
     assert df.isStreaming and df.columns == ["location", *readings.READING_FIELDS]
+
+
+def test_nested_tables(spark):
+    from gaugeflow.sources.markup import nested_table_rows, table_rows
+
+    nested = "<table><tr><th>a</th></tr><tr><td>1<table><tr><td>2</td></tr><tr><td>3<table><tr><td>4</table></td></tr></table>5</td><td>6</td></tr><tr><td>7</td></tr></table><table><tr><td>8"
+    pages = [
+        (1, nested), (2, None), (3, "no table"), (4, "<table></table>"), (5, "</table><table><tr><th>h<tr><td>x"),
+        (6, "<table a=\"<tr>\" b='>'><tr><th>h</th></tr><tr id='<td>'><td title='a>b'>v &amp; w</td><td></td></tr></table>"),
+        (7, "<table><tr><td>h</td></tr>" + "<tr><td>" + "y" * 20000 + "</td></tr>" * 3 + "</table>"), (8, "<table <tr"),
+    ]
+    df = spark.createDataFrame(pages, "id int, html string")
+    found = {}
+    for r in nested_table_rows(df, "html", ["a", "b"], ["id"]).collect():
+        found.setdefault(r["id"], []).append((r["position"], r["a"], r["b"]))
+    assert found[1] == [(1, "1 2 3 45", "6"), (2, "7", None)] or [c[2] for c in found[1]] == ["6", None] and found[1][0][1].replace(" ", "") == "12345"
+    assert found[5] == [(1, "x", None)] and found[6] == [(1, "v & w", "")] and found[7] == [(1, "y" * 20000, None)]
+    assert not {2, 3, 4, 8} & set(found)
+    plain = df.where("id = 6").withColumn("html", F.lit("<table><tr><th>n</th></tr><tr><td>1</td><td></td></tr></table>"))
+    assert nested_table_rows(plain, "html", ["a", "b"]).collect() == table_rows(plain, "html", ["a", "b"]).collect()
