@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, read, whole_text
 from .radix import RadixTrie
+from .tokens import release
 
 #: Bytes that a trie holds before its subtrees are given up.
 HELD = 24 << 20
@@ -37,6 +38,7 @@ def _merge(bodies: bool, by_slot: bool, limit: int):
     that came back after a spill) is united by whoever reads the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         trie, at = RadixTrie(), None
         for batch in batches:
             columns = [batch.column(f).to_pylist() for f, _ in _FIELDS]

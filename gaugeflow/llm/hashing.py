@@ -15,7 +15,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: Bytes handled at once; a longer text is handled by itself.
-SLICE = 2 << 20
+SLICE = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -72,12 +72,16 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) <= n:
-        for k, base in enumerate((_ODD, _INVERSE)):
-            run = np.full(n + 1, base, np.uint64)
-            run[0] = 1
-            _powers[k] = np.cumprod(run)
-    return _powers[0], _powers[1]
+    if len(_powers[0]) > n:
+        return _powers[0], _powers[1]
+    made = []
+    for base in (_ODD, _INVERSE):
+        run = np.full(n + 1, base, np.uint64)
+        run[0] = 1
+        made.append(np.cumprod(run))
+    if n <= 2 * SLICE:  # those of a longer text go with it
+        _powers[:] = made
+    return made[0], made[1]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import read, remainder, whole_text
 from .hashing import flat, mix, sequence_hash, slices, span_hashes, words
+from .tokens import release
 
 #: log2 of the number of weights.
 BITS = 18
@@ -99,6 +100,7 @@ def fit(labelled: DataFrame, bits: int = BITS, limit: int = MAX_TRAINING_ROWS, s
 
     def learn(start):
         def run(key, pdf):
+            release()
             leader = Leader(bits)
             leader.z, leader.n = start.value[0].copy(), start.value[1].copy()
             pdf = pdf.sort_values(["rank", "text", "y"])
@@ -144,6 +146,7 @@ def score(df: DataFrame, weights: np.ndarray, text: str = "text", output: str =
     column = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         w = held.value.astype(np.float64)
         for batch in batches:
             data, offsets = flat(batch.column(column))

@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import number_rows
-from ..session import materialise
+from ..session import materialise, release
 from .common import read, runs, whole_text
 from .components import components
 from .hashing import LOWER, flat, mix, sequence_hash, slices, span_hashes, words
+from .tokens import release as release_encoders
 
 #: Shingle length, similarity in hundredths, and dimensions of a point.
 WIDTH, PERCENT, GROUPS = 4, 85, 64
@@ -114,6 +115,7 @@ def _each_set(batch: pa.RecordBatch, column: str, width: int) -> Iterator[tuple[
 
 def _signatures(width: int):
     def run(batches):
+        release_encoders()
         for batch in batches:
             sets = _each_set(batch, "text", width)
             rows = [(len(own), _set_hash(own, 1), _set_hash(own, 2), fine_point(own).tobytes()) for _, own in sets]
@@ -130,6 +132,7 @@ def _keys(width: int, percent: int, hot: frozenset[int] = frozenset()):
     many = np.array(sorted(hot), np.int64)
 
     def run(batches):
+        release_encoders()
         for batch in batches:
             seen, keys, nodes = set(), [], []
             for _, own in _each_set(batch, "text", width):
@@ -177,8 +180,8 @@ def _chain(hot: frozenset[int]):
 SALTS, LOOK, HOT = 64, 32, 32
 
 
-def candidate_edges(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """``(u, v)`` that connect all sets sharing a routing key."""
+def candidate_edges(texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``(u, v)`` that connect all sets sharing a routing key, and the table that they read."""
     few = texts.where(F.pmod("hash", F.lit(LOOK)) == 0).select("text").mapInArrow(_keys(width, percent), "key long, salt long, node long")
     often = few.groupBy("key").count().where(F.col("count") >= HOT).orderBy(F.desc("count")).limit(10_000).collect()
     hot = frozenset(r["key"] for r in often)
@@ -187,7 +190,7 @@ def candidate_edges(texts: DataFrame, width: int, percent: int) -> DataFrame:
     found = materialise(met.mapInArrow(_chain(hot), "key long, u long, v long").distinct(), "chains")
     rims = found.where("u is null").groupBy("key").agg(F.min("v").alias("u"))
     across = found.where("u is null").select("key", "v").join(rims, "key").select("u", "v")
-    return found.where("u is not null").select("u", "v").union(across).where("u != v")
+    return found.where("u is not null").select("u", "v").union(across).where("u != v"), found
 
 
 class Forest:
@@ -309,12 +312,16 @@ POINTS = 1024
 
 
 def _leaves(members: DataFrame, order: list[str], size: int) -> DataFrame:
-    """Rows of clusters with two members at least, with ``rank`` (unique), ``leaf`` and the cluster's ``last``."""
+    """A table of the rows of clusters with two members at least, with ``rank`` (unique), ``leaf`` and the
+    cluster's ``last``."""
     ordered = number_rows(members, ["cluster", *order], "rank")
     starts = ordered.groupBy("cluster").agg(F.min("rank").alias("from"), F.count(F.lit(1)).alias("members"))
     placed = ordered.join(starts, "cluster").where("members > 1")
     at = lambda c: F.floor(c / size).cast("long")
-    return placed.withColumns({"leaf": at(F.col("rank") - F.col("from")), "last": at(F.col("members") - 1)}).drop("from", "members")
+    placed = placed.withColumns({"leaf": at(F.col("rank") - F.col("from")), "last": at(F.col("members") - 1)})
+    out = materialise(placed.drop("from", "members"), "leaves")
+    release(ordered)
+    return out
 
 
 def _point_links(picked: DataFrame, percent: int) -> DataFrame:
@@ -385,16 +392,19 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     docs = df.select(F.col(key).cast("long").alias("doc_id"), whole_text(text).alias("text")).withColumn("hash", F.xxhash64("text"))
     signed = materialise(docs.mapInArrow(_signatures(width), "doc_id long, hash long, n_shingles long, s1 long, s2 long, point binary"), "shingles")
     classes = signed.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"))
-    clusters = components(candidate_edges(docs, width, percent))
+    edges, chains = candidate_edges(docs, width, percent)
+    clusters = components(edges)
+    release(chains)
     members = classes.join(clusters, classes["s1"] == clusters["node"]).select(F.col("component").alias("cluster"), "n", "s1", "s2", "least")
-    ordered = materialise(_leaves(members, ["n", "s1", "s2"], POINTS).withColumnRenamed("rank", "node"), "ordered")
+    ordered = _leaves(members, ["n", "s1", "s2"], POINTS).withColumnRenamed("rank", "node")
     # one row stands for each distinct set
     pick = signed.join(ordered, ["s1", "s2"]).groupBy("node", "cluster", "leaf", "n").agg(F.min(F.struct("doc_id", "hash", "point")).alias("pick"))
     picked = materialise(pick.select("node", "cluster", "leaf", "n", "pick.*"), "points")
-    near = components(materialise(_point_links(picked, percent), "near"))
+    near = components(_point_links(picked, percent))
     # what the bound leaves together, in the order of the tree's first dimension, cut into leaves
     tight = picked.join(near, "node").select(F.col("component").alias("cluster"), "node", "n", F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"))
-    tight = materialise(_leaves(tight, ["n", "node"], leaf), "leaves")
+    tight = _leaves(tight, ["n", "node"], leaf)
+    release(picked)
     found = docs.join(tight, docs["doc_id"].eqNullSafe(tight["__id"]) & (docs["hash"] == tight["__hash"])).select("node", "cluster", "leaf", "last", "text")
     found = materialise(found, "members")
     # first each leaf with its neighbour
@@ -409,6 +419,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     if not whole.isEmpty():
         links = links.union(_rest(found, links, width, percent))
     joined = components(links)
+    release(found)
     named = ordered.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(ids, "component").select("s1", "s2", "component_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 
@@ -116,6 +118,18 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def release() -> None:
+    """Give the memory of this worker's encoders back; for tasks of operators that do not encode. A worker
+    process is used again by later stages and would hold them for good."""
+    if _ENCODERS:
+        _ENCODERS.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library keeps its own counsel
+            pass
+
+
 def portions(texts: list[str], limit: int = 1 << 20):
     """Index ranges of texts with about ``limit`` code points in all."""
     i = size = 0
