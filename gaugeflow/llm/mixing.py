@@ -7,9 +7,10 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from ..operators.ranking import number_rows
-from ..session import materialise
+from ..session import materialise, release, ship_package
 from .common import read, whole_text, word_count
 
 #: Fixed by the contract of the query: weights in turn, words of the mix, and copies of a document.
@@ -129,16 +130,28 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", weights=WEIGH
 
     Size counts the words of the whole text (null: 0); null is a source of its own. Rows that repeat a
     key are rows of their own. Rows of size 0 are taken by their drawn copies, which add no words.
-    Columns of ``df`` with the added names are replaced. The rows are numbered once, in a table that both
-    the sizes and the result come from, so ``df`` may give its rows in other partitions when read again.
+    Columns of ``df`` with the added names are replaced; keep them under other names where they matter. An
+    empty table gives no rows; a very long text is a row like others, and counts at most twice.
+
+    The draw of a row follows from the contents of the table (all columns but maps), so reruns agree whatever
+    files, partitions or executors the rows come from. The rows are numbered once, in a table that both the
+    sizes and the result come from, so ``df`` may give its rows in other partitions when read again.
     """
     names = ["size", "source_size", "target", "copies", "taken"]
+    ship_package(df.sparkSession)
     numbered = materialise(df.drop(*names).withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    sized = materialise(numbered.select(F.col("__row").alias("row"), F.col(source).cast("string").alias("source"), word_count(whole_text(text)).alias("size")), "sizes")
-    wanted = targets(sized, weights, share, most)
+    plain = [F.col(f"`{f.name}`") for f in numbered.schema if f.name != "__row" and not isinstance(f.dataType, (MapType, VariantType))]
+    content = F.xxhash64(*plain, F.lit(0)).alias("content")
+    sized = materialise(numbered.select("__row", F.col(source).cast("string").alias("source"), word_count(whole_text(text)).alias("size"), content), "sizes")
+    # a row's number follows from what all rows say, not from where they lie; equal rows may swap theirs
+    ordered = number_rows(sized, ["content", "__row"], "row")
+    rows = materialise(ordered.drop("content"), "rows")
+    release(ordered)
+    release(sized)
+    wanted = targets(rows, weights, share, most)
     per = wanted.withColumnRenamed("source", "__s")
-    taken = sized.join(copies(sized, wanted), "row").join(per, F.col("source").eqNullSafe(F.col("__s")))
-    taken = taken.select(F.col("row").alias("__row"), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    taken = rows.join(copies(rows.drop("__row"), wanted), "row").join(per, F.col("source").eqNullSafe(F.col("__s")))
+    taken = taken.select("__row", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
     return numbered.join(taken, "__row").drop("__row")
 
 

@@ -33,7 +33,8 @@ def reduce_by_dominance(counts: np.ndarray, room: int) -> list[Pattern]:
     For an item of length ``a`` the best single partner is the longest ``b`` that fits. The set dominates,
     so some best packing holds it, when (1) nothing fits beside ``a``; (2) ``a + b`` fills the sequence;
     (3) two more items never fit; (4) three never fit and no two that fit are longer than ``b``.
-    Runs over the lengths, longest first, until a whole pass fixes nothing.
+    Runs over the lengths, longest first, until a whole pass fixes nothing. Each step uses up a length, so
+    there are never more patterns than lengths, however many items there are.
     """
     fixed: list[Pattern] = []
     changed = True
@@ -61,10 +62,8 @@ def reduce_by_dominance(counts: np.ndarray, room: int) -> list[Pattern]:
                 triple = len(small) > 2 and sum(small) <= free
                 if b != free and pair and (triple or _longest_pair(fits, counts, a, free) > b):
                     break
-                # the conditions use only lengths that stay while both items last
+                # fewer items make no condition harder, so all pairs of these two lengths are fixed at once
                 times = int(min(counts[a], counts[b])) if a != b else int(counts[a] // 2)
-                if b != free:
-                    times = 1
                 counts[a] -= times
                 counts[b] -= times
                 fixed.append((times, [(a, 1), (b, 1)] if a != b else [(a, 2)]))
@@ -185,7 +184,8 @@ def pack(df: DataFrame, vocabulary: str, room: int = LENGTH, end: int = END, key
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     Every whole text (null: empty) is encoded, ``end`` put after it, and cut only if longer than ``room``.
-    Rows that repeat a key are documents of their own; null keys are kept. An empty table gives no rows.
+    Rows that repeat a key are documents of their own; null keys are kept. An empty table gives no rows. A
+    very long text is encoded whole and becomes many pieces.
     The plan sent to the tasks has a few numbers per length and pattern, so ``room`` bounds it.
     """
     docs = df.select(F.col(key).cast("long").alias("doc_id"), whole_text(text).alias("text"))

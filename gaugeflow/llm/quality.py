@@ -84,8 +84,8 @@ def _with_bias(at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[BIAS], at[other]]), np.concatenate([[1.0], x[other]])
 
 
-def fit(labelled: DataFrame, bits: int = BITS, limit: int = MAX_TRAINING_ROWS, shards: int = SHARDS, rounds: int = ROUNDS, key: str = "doc_id", text: str = "text", label: str = "label"):
-    """Weights from the rows of ``labelled`` (key, text, label 0/1), at most ``limit`` of them.
+def fit(labelled: DataFrame, bits: int = BITS, shards: int = SHARDS, rounds: int = ROUNDS, key: str = "doc_id", text: str = "text", label: str = "label"):
+    """Weights from all rows of ``labelled`` (key, text, label 0/1); :func:`bounded_sample` bounds them.
 
     Each shard learns its own rows in a fixed order, starting from the state averaged over all shards;
     only ``shards`` states of ``2^bits`` numbers return to the driver in a round. Rows without a label
@@ -136,8 +136,8 @@ def bounded_sample(labels: DataFrame, limit: int = MAX_TRAINING_ROWS, key: str =
 def score(df: DataFrame, weights: np.ndarray, text: str = "text", output: str = "score") -> DataFrame:
     """Add ``output``: the probability of label 1 from a sparse dot product over the whole text.
 
-    Null and empty texts get the probability that the bias alone gives. Other columns stay; a column
-    called ``output`` is replaced.
+    Null and empty texts get the probability that the bias alone gives; very long texts are read whole, in a
+    slice of their own. Repeated rows get equal scores. Other columns stay; one called ``output`` is replaced.
     """
     bits = len(weights).bit_length() - 1
     held = df.sparkSession.sparkContext.broadcast(weights)  # 4 bytes a weight
@@ -171,10 +171,11 @@ FOLDS = 5
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_ROWS) -> np.ndarray:
     """Weights from the labelled rows whose key's remainder is not 0; the sample's keys are broadcast, as
-    ``limit`` bounds them."""
+    ``limit`` bounds the labels. A key that is repeated among documents or labels gives a training row for
+    each pair; null keys and null labels give none. Without labels all scores are one half."""
     known = labels.where(F.col("quality").isNotNull() & (remainder("doc_id", FOLDS) != 0)).select("doc_id", F.col("quality").alias("label"))
     sample = bounded_sample(known, limit)
-    return fit(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), limit=limit)
+    return fit(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"))
 
 
 def quality_classifier(spark, sf: str) -> DataFrame:

@@ -380,6 +380,24 @@ def _boxes(width: int):
     return run
 
 
+#: log2 of the bits of a filter of text hashes: 2 MB, however many texts there are.
+FILTER_BITS = 24
+
+
+def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` without most of the texts whose ``hash`` is not among ``wanted``'s ``__hash``, before the texts
+    move. Bits are set by hash; what shares a bit stays, so nothing that is wanted goes. With more texts than
+    bits it lets more pass, up to all, and only the saving is lost."""
+    slot = lambda c: F.col(c).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = wanted.groupBy(F.shiftright(slot("__hash"), 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(__hash & 63 as int))")).alias("bits"))
+    set_ = words.toArrow()  # 2^18 rows at most
+    bits = np.zeros(1 << (FILTER_BITS - 6), "<i8")
+    bits[set_.column("word").to_numpy()] = set_.column("bits").to_numpy()
+    held = docs.sparkSession.createDataFrame([(bytearray(bits.tobytes()),)], "bits binary").select("bits").scalar()
+    byte = F.conv(F.hex(F.substring(held, (F.shiftright(slot("hash"), 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    return docs.where(F.getbit(byte, F.col("hash").bitwiseAND(F.lit(7)).cast("int")) == 1)
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of ``df``.
 
@@ -405,7 +423,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     tight = picked.join(near, "node").select(F.col("component").alias("cluster"), "node", "n", F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"))
     tight = _leaves(tight, ["n", "node"], leaf)
     release(picked)
-    found = docs.join(tight, docs["doc_id"].eqNullSafe(tight["__id"]) & (docs["hash"] == tight["__hash"])).select("node", "cluster", "leaf", "last", "text")
+    few = _only(docs, tight)
+    found = few.join(tight, few["doc_id"].eqNullSafe(tight["__id"]) & (few["hash"] == tight["__hash"])).select("node", "cluster", "leaf", "last", "text")
     found = materialise(found, "members")
     # first each leaf with its neighbour
     here, last = F.col("leaf"), F.col("last")

@@ -144,11 +144,11 @@ def test_quality_query(spark, sf):
     assert sum(g > b for g, b in pairs) >= 0.9 * len(pairs)
 
 
-def _components(texts):
+def _components(texts, width=4, percent=85):
     sets = {}
     for i, t in texts.items():
         w = WORD.findall((t or "").translate(LOWER))
-        sets[i] = {tuple(w[k : k + 4]) for k in range(len(w) - 3)} if len(w) >= 4 else ({tuple(w)} if w else set())
+        sets[i] = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
     up = {i: i for i in sets}
 
     def find(i):
@@ -161,7 +161,7 @@ def _components(texts):
         for j in ids[x + 1 :]:
             if sets[i] and sets[j]:
                 both = len(sets[i] & sets[j])
-                if 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                     a, b = find(i), find(j)
                     up[max(a, b)] = min(a, b)
     return {(i, len(sets[i]), find(i)) for i in ids}
@@ -466,3 +466,15 @@ def test_dominance_keeps_the_optimum(seed):
     fixed = packing.reduce_by_dominance(counts, room)
     rest = tuple(x for x in range(room, 0, -1) for _ in range(counts[x]))
     assert sum(n for n, _ in fixed) + best(rest) == best(tuple(lengths))
+
+
+def test_patterns_do_not_grow_with_the_pieces():
+    """Lengths of which two fit and never three: a few patterns for any number of pieces."""
+    found = []
+    for n in (1000, 1_000_000):
+        counts = np.zeros(2049, np.int64)
+        counts[1000:1020] = n // 20
+        fixed = packing.reduce_by_dominance(counts, 2048)
+        assert sum(times * sum(k for _, k in runs) for times, runs in fixed) + counts.sum() == n
+        found.append(len(fixed))
+    assert found[0] == found[1] <= 40

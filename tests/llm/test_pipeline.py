@@ -26,7 +26,7 @@ def test_stages(spark, sf):
     for i in sorted(kept):
         first.setdefault(_norm(start[i]), i)
     assert {r["doc_id"] for r in rows[1]} == set(first.values())
-    assert {r["doc_id"] for r in rows[2]} == {c for _, _, c in _components({i: start[i] for i in first.values()})}
+    assert {r["doc_id"] for r in rows[2]} == {c for _, _, c in _components({i: start[i] for i in first.values()}, 5, 80)}
     taken = {r["doc_id"]: r["copies"] for r in mixing.mix(frames[2]).collect()}
     assert Counter(r["doc_id"] for r in rows[3]) == Counter({i: n for i, n in taken.items() if n})
     texts = [r["text"] for r in rows[3]]
@@ -40,3 +40,31 @@ def _norm(text):
     import re
 
     return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def test_odd_rows_keep_their_values(spark, sf):
+    """Nulls, empty and very long texts, repeated rows and keys, and columns named like the stages' own."""
+    extra = ["size", "target", "kept", "copies", "score", "component_id", "text_sha256", "keep_id", "taken", "label"]
+    base = common.read(spark, sf, "documents").select("doc_id", "text", "source").limit(120).collect()
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in base]
+    rows += [rows[3], rows[3], (None, rows[4][1], None), (None, None, None), (10**6, "", "x"), (10**6 + 1, "word " * 60_000, "x"), (rows[5][0], "another text of the same key", "y")]
+    rows = [(*r, *[f"{c}-{i % 7}" for c in extra]) for i, r in enumerate(rows)]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in extra)
+    docs = spark.createDataFrame(rows, schema)
+    given = set(rows)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf), "stage")
+        assert docs.columns == [f.name for f in docs.schema] == ["doc_id", "text", "source", *extra]
+        assert {tuple(r) for r in docs.collect()} <= given
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+    assert len(pieces) >= docs.count() > 0
+    _gapless(pieces, 2048)
+
+
+def test_empty_tables(spark, sf, tmp_path):
+    for name in ("documents", "labels"):
+        common.read(spark, sf, name).limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    docs = common.read(spark, sf, "documents").limit(30)
+    left = corpus_pipeline.classify_quality(spark, docs, str(tmp_path))  # no labels: every score is one half
+    assert left.count() == 30
