@@ -44,20 +44,20 @@ def t2(spark, sf):
     return good.unionByName(bad)
 
 
-def _landed(spark, sf, out, parts):
-    """Events as files that land one after another; part ``i`` has those with ``event_id % 4 = i``, so that
+def _landed(spark, sf, out, parts, files):
+    """Events as files that land one after another; file ``i`` has those with ``event_id % files = i``, so that
     most users have late rows in later files."""
     events = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
     for i in parts:
-        events.where(F.col("event_id") % 4 == i).coalesce(1).write.parquet(f"{out}/in/part={i}")
+        events.where(F.col("event_id") % files == i).coalesce(1).write.parquet(f"{out}/in/part={i}")
     return stream_table(spark, f"{out}/in/part=*", events.schema, files_per_trigger=1)
 
 
-def _followed(spark, sf):
+def _followed(spark, sf, files=2):
     """Two runs of the stream, the second from the checkpoint of the first; the table's folder."""
-    out = scratch_dir(spark, "t3")
-    for parts in ((0, 1), (2, 3)):
-        source = _landed(spark, sf, out, parts)
+    out, half = scratch_dir(spark, "t3"), files // 2
+    for parts in (range(half), range(half, files)):
+        source = _landed(spark, sf, out, parts, files)
         follow_latest(source, ["user_id"], ["ts", "event_id"], f"{out}/table", f"{out}/checkpoint", fold_every=3).awaitTermination()
     return f"{out}/table"
 
@@ -70,7 +70,7 @@ def t3(spark, sf):
 @query("t3_changed_keys", "SELECT CAST(event_id % 4 AS INTEGER) AS batch, count(DISTINCT user_id) AS changed FROM events GROUP BY 1")
 def t3_changed(spark, sf):
     """What a batch writes: the keys it met, not the table."""
-    path = _followed(spark, sf)
+    path = _followed(spark, sf, files=4)
     rows = spark.read.option("basePath", path).parquet(f"{path}/changed=*")
     return rows.groupBy(F.col("changed").cast("int").alias("batch")).agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("n", "changed")
 

@@ -1,32 +1,26 @@
-"""Fixed-width binary files of 4-byte little-endian unsigned integers, as a Spark data source.
+"""Fixed-width binary files of 4-byte little-endian unsigned integers.
 
-Register once per session with :func:`register`, then::
-
-    spark.read.format("uint32le").load(path)          # column: value long
-    df.write.format("uint32le").mode("overwrite").save(path)
-
-Reads split files into byte ranges, so one large file is read by many tasks. Writes produce one file
-per task: tasks write below ``_temporary`` and only files of successful attempts are published, so a
-lost executor leaves no partial or duplicate data behind.
+Files are read by Spark's ``binaryFile`` reader and cut into values on Arrow batches. Spark has no writer of
+plain bytes, so :class:`UInt32Source` is a sink only (``df.write.format("uint32le")`` after :func:`register`):
+one file per task, written below ``_temporary``; only files of successful attempts are published, so a lost
+executor leaves no partial or duplicate data behind.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import (
-    DataSource,
-    DataSourceArrowWriter,
-    DataSourceReader,
-    InputPartition,
-    WriterCommitMessage,
-)
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+
+from ..session import ship_package
 
 WIDTH = 4
-SPLIT_BYTES = 64 * 1024 * 1024
-BATCH_VALUES = 1 << 18
+#: Bytes of a file that become one batch of values.
+BATCH_BYTES = 1 << 21
 
 
 def _filesystem(path: str):
@@ -37,13 +31,6 @@ def _filesystem(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-@dataclass
-class ByteRange(InputPartition):
-    path: str
-    start: int
-    length: int
-
-
 @dataclass
 class WrittenFile(WriterCommitMessage):
     name: str
@@ -57,55 +44,10 @@ class UInt32Source(DataSource):
     def schema(self) -> str:
         return "value long"
 
-    def reader(self, schema) -> DataSourceReader:
-        return UInt32Reader(self.options)
-
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
         return UInt32Writer(self.options, overwrite)
 
 
-class UInt32Reader(DataSourceReader):
-    def __init__(self, options):
-        self.path = options["path"]
-        self.split = int(options.get("splitbytes", SPLIT_BYTES)) // WIDTH * WIDTH
-
-    def partitions(self):
-        from pyarrow import fs
-
-        system, root = _filesystem(self.path)
-        info = system.get_file_info(root)
-        if info.type == fs.FileType.NotFound:
-            raise FileNotFoundError(self.path)
-        files = [info] if info.type == fs.FileType.File else system.get_file_info(fs.FileSelector(root))
-        ranges = []
-        for f in sorted(files, key=lambda f: f.path):
-            if f.type != fs.FileType.File or f.base_name.startswith(("_", ".")):
-                continue
-            if f.size % WIDTH:
-                raise ValueError(f"{f.path}: {f.size} bytes is not a whole number of {WIDTH}-byte records")
-            for start in range(0, f.size, self.split):
-                ranges.append(ByteRange(f.path, start, min(self.split, f.size - start)))
-        return ranges or [ByteRange("", 0, 0)]
-
-    def read(self, partition: ByteRange):
-        import numpy as np
-        import pyarrow as pa
-
-        if not partition.length:
-            return
-        system, _ = _filesystem(self.path)
-        with system.open_input_file(partition.path) as source:
-            source.seek(partition.start)
-            left = partition.length
-            while left:
-                chunk = source.read(min(left, BATCH_VALUES * WIDTH))
-                if len(chunk) % WIDTH or not chunk:
-                    raise ValueError(f"{partition.path} changed while it was read")
-                left -= len(chunk)
-                values = np.frombuffer(chunk, dtype="<u4").astype("int64")
-                yield pa.RecordBatch.from_arrays([pa.array(values)], names=["value"])
-
-
 class UInt32Writer(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
         self.path = options["path"].rstrip("/")
@@ -136,13 +78,13 @@ class UInt32Writer(DataSourceArrowWriter):
         from pyarrow import fs
 
         system, root = _filesystem(self.path)
-        if self.overwrite:
-            for f in system.get_file_info(fs.FileSelector(root, allow_not_found=True)):
-                if f.type == fs.FileType.File:
-                    system.delete_file(f.path)
+        before = [f.path for f in system.get_file_info(fs.FileSelector(root, allow_not_found=True)) if f.type == fs.FileType.File]
         for message in messages:
             if message is not None:
                 system.move(f"{root}/_temporary/{self.job}/{message.name}", f"{root}/{message.name}")
+        if self.overwrite:  # once the new files stand
+            for path in before:
+                system.delete_file(path)
         self._clean(system, root)
         system.open_output_stream(f"{root}/_SUCCESS").close()
 
@@ -161,10 +103,31 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(UInt32Source)
 
 
-def read_uint32(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Column ``value`` from a file or folder; a file with a short last record is rejected."""
-    register(spark)
-    return spark.read.format("uint32le").option("splitBytes", split_bytes).load(path)
+def _values(batch_bytes: int):
+    step = max(WIDTH, batch_bytes // WIDTH * WIDTH)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                data = content.as_buffer()
+                if data.size % WIDTH:
+                    raise ValueError(f"{path}: {data.size} bytes is not a whole number of {WIDTH}-byte records")
+                for start in range(0, data.size, step):
+                    values = np.frombuffer(data, "<u4", min(step, data.size - start) // WIDTH, start).astype("int64")
+                    yield pa.record_batch([pa.array(values)], names=["value"])
+
+    return cut
+
+
+def read_uint32(spark: SparkSession, path: str, split_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Column ``value`` from a file, or from all files of a folder and the folders in it; a file with a short
+    last record is rejected. A file is read by one task and held in memory, so it may have 2 GB at most (the
+    limit of Spark's reader); ``split_bytes`` of it become one batch."""
+    ship_package(spark)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "content").mapInArrow(_values(split_bytes), "value long")
 
 
 def write_uint32(df: DataFrame, column: str, path: str, mode: str = "overwrite") -> None:

@@ -131,9 +131,8 @@ def test_fixed_width_roundtrip_and_layout(spark, tmp_path):
     raw = b"".join((tmp_path / "numbers" / n).read_bytes() for n in names)
     assert raw == struct.pack("<12I", *values)
     assert not os.listdir(tmp_path / "numbers" / "_temporary")
-    back = fixed_width.read_uint32(spark, out, split_bytes=8)
-    assert back.rdd.getNumPartitions() == 6
-    assert [r.value for r in back.collect()] == values
+    for split in (3, 8, 1 << 21):  # a file is cut into batches of so many bytes
+        assert [r.value for r in fixed_width.read_uint32(spark, out, split_bytes=split).collect()] == values
 
 
 def test_fixed_width_overwrite_and_append(spark, tmp_path):
@@ -190,3 +189,12 @@ def test_nested_tables(spark):
     assert not {2, 3, 4, 8} & set(found)
     plain = df.where("id = 6").withColumn("html", F.lit("<table><tr><th>n</th></tr><tr><td>1</td><td></td></tr></table>"))
     assert nested_table_rows(plain, "html", ["a", "b"]).collect() == table_rows(plain, "html", ["a", "b"]).collect()
+
+
+def test_fixed_width_reads_nested_folders(spark, tmp_path):
+    for i, name in enumerate(("a.bin", "x/b.bin", "x/y/c.bin", "x/_hidden.bin")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(struct.pack("<2I", i, 2**32 - 1))
+    assert sorted(r["value"] for r in fixed_width.read_uint32(spark, str(tmp_path)).collect()) == [0, 1, 2, *[2**32 - 1] * 3]
+    with pytest.raises(Exception, match="(?i)path"):
+        fixed_width.read_uint32(spark, str(tmp_path / "absent")).collect()
