@@ -76,6 +76,7 @@ def unpack_metrics(record: DataFrame) -> DataFrame:
 def report_rows(record: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Report as ``(section, position, key, value)`` rows from a metrics record and a file listing."""
     d, text = F.col("dataset"), lambda c: F.coalesce(c.cast("string"), F.lit("N/A"))
+    # --- fixed values: row labels, here and below ---
     entries = [
         ("run", "Run at", text(F.col("run_timestamp"))),
         ("run", "Mode", F.upper(F.coalesce(F.col("mode"), F.lit("local")))),

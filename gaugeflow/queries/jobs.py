@@ -12,7 +12,7 @@ from ..session import scratch_dir
 from ..sources.delimited import read_decimal_comma, read_delimited, write_csv
 from ..sources.records import write_json, write_parquet
 from .models import GROUP_FEATURES, MEASURED, _grouped_events, _hash_sql, measured_models
-from .registry import CHANNELS, WEEKLY, query, rounded, table, weekly
+from .registry import CHANNELS, REGISTRY, WEEKLY, query, rounded, table, weekly
 
 RAW_NAMES = {"click": "C(1)", "view": "C.2(V)", "signup": "S3", "purchase": "P4", "error": "E5"}
 RENAMES = {v: k for k, v in RAW_NAMES.items()}
@@ -287,6 +287,20 @@ def j6(spark, sf):
     return rows
 
 
+@query(
+    "j6_report_text",
+    f"""WITH written AS ({REGISTRY['j6_k7_report'].sql})
+        SELECT CASE WHEN section <> 'performance' THEN printf('  %-22s: %s', key, value)
+          ELSE printf('  %-10s %20s %16s', key, split_part(value, '|', 1), split_part(value, '|', 2)) || CASE WHEN split_part(value, '|', 3) = '' THEN '' ELSE '  ' || split_part(value, '|', 3) || ' ✓' END END AS line FROM written
+        UNION ALL SELECT '  ' || t FROM (VALUES ('RUN REPORT'), ('DATASET SUMMARY'), ('MODEL PERFORMANCE COMPARISON'), ('WINNER')) h(t)""",
+)
+def j6_text(spark, sf):
+    """The rendered report as it was written, line by line."""
+    out = scratch_dir(spark, "report")
+    report.build_report(spark, metrics_record(spark, sf), output=out)
+    return spark.read.text(out).select(F.col("value").alias("line"))
+
+
 @query(
     "j7_explore",
     f"""WITH {WEEKLY} SELECT 'missing' AS section, column_name AS key, CAST(missing AS DOUBLE) AS value FROM (

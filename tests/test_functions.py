@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gaugeflow import presets
 from gaugeflow.functions import arrays, bytes as packed, clock, labels, numbers, text
 
+# --- fixed values: sample text of the patterns ---
 INPUT = """Name: Alice
 Email: alice@gmail.com
 Phone: 9876543210

@@ -12,6 +12,7 @@ from gaugeflow.learning import clustering, comparison, pipelines, scaling, split
 from gaugeflow.plans import explore, predict, report, train
 from gaugeflow.sources.records import write_json
 
+# --- fixed values: a recorded metrics file ---
 METRICS = {
     "LinearRegression": {"rmse": 0.5936, "mae": 0.3997, "r2": 0.7969, "train_time_sec": 11.2},
     "RandomForestRegressor": {"rmse": 0.4921, "mae": 0.3174, "r2": 0.8604, "train_time_sec": 62.5},

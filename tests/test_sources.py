@@ -10,6 +10,7 @@ from gaugeflow import presets
 from gaugeflow.plans import clean
 from gaugeflow.sources import delimited, fixed_width, markup, readings, records, text
 
+# --- fixed values: recorded sensor rows ---
 SENSOR = """Date;Time;CO(GT);PT08.S1(CO);NMHC(GT);C6H6(GT);PT08.S2(NMHC);NOx(GT);PT08.S3(NOx);NO2(GT);PT08.S4(NO2);PT08.S5(O3);T;RH;AH;;
 10/03/2004;18.00.00;2,6;1360;150;11,9;1046;166;1056;113;1692;1268;13,6;48,9;0,7578;;
 10/03/2004;19.00.00;2;1292;112;9,4;955;103;1174;92;1559;972;13,3;47,7;0,7255;;
