@@ -27,6 +27,8 @@ from .hashing import LOWER, flat, mix, slices, span_hashes, words
 #: Context bytes; an n-gram of one byte more fits a 64-bit key, the nearest context byte on top.
 DEPTH = 5
 BLOCK = 32 << 20
+#: Bytes of texts whose n-grams are cut at once.
+TEXTS = 2 << 20
 #: Payloads per block and kind of key.
 BUCKETS = 128
 GRAM, TOKEN = 0, 1
@@ -136,7 +138,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from close()
                 tallies = [Tally(), Tally()]
             current = int(blocks[a])
-            for i, j in slices(offsets[a : b + 1]):
+            for i, j in slices(offsets[a : b + 1], TEXTS):
                 i, j = a + i, a + j
                 part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 for tally, (keys, row) in zip(tallies, (grams(part, at), tokens(part, at))):
@@ -332,7 +334,7 @@ def _documents(batch, table, base, total, ends):
     data, offsets = flat(batch.column("text"))
     n = batch.num_rows
     score, plain, count, known = np.zeros(n), np.zeros(n), np.ones(n, np.int64), np.zeros(n, np.int64)
-    for i, j in slices(offsets):
+    for i, j in slices(offsets, TEXTS):
         part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         keys, row = grams(part, at)
         score[i:j] = np.bincount(row, weights=table[GRAM][1][np.searchsorted(table[GRAM][0], keys)], minlength=j - i)

@@ -79,7 +79,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
         run = np.full(n + 1, base, np.uint64)
         run[0] = 1
         made.append(np.cumprod(run))
-    if n <= 2 * SLICE:  # those of a longer text go with it
+    if n <= 4 * SLICE:  # those of a longer text go with it
         _powers[:] = made
     return made[0], made[1]
 
