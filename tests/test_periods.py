@@ -32,3 +32,24 @@ def test_keys_of_the_first_month(spark, sf):
         got = frame(spark, sf)
         assert got.where((F.col("period") != old) | (F.col("reading_id") != F.col("user_id") * factor + old)).isEmpty()
         assert dict(got.dtypes)["reading_id"] == "bigint"
+
+
+def test_averages_follow_the_order_of_the_table(spark, tmp_path):
+    """Tasks that read parts of a group do not change the last digit of its averages."""
+    start = datetime(2024, 1, 1)
+    rows = [(k, k % 4, start + timedelta(minutes=k % 1000), registry.CHANNELS[k // 4 % 5], k * 7919 % 56021 / 100) for k in range(8000)]
+    path = str(tmp_path / "events.parquet")
+    frame = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp, event_type string, value double")
+    frame.repartitionByRange(7, "event_id").sortWithinPartitions("event_id").write.parquet(path)
+    expected = defaultdict(list)
+    for _, u, _, c, v in rows:
+        expected[u, c].append(v)
+    for frame in (registry.weekly, registry.daily):
+        got = frame(spark, str(tmp_path)).collect()
+        assert len(got) == 4
+        for r in got:
+            for c in registry.CHANNELS:
+                own, total = expected[r["user_id"], c], 0.0
+                for v in own:  # sum() of Python 3.12 makes up for rounding
+                    total += v
+                assert r[c] == total / len(own)
