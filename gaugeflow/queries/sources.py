@@ -144,14 +144,16 @@ def s7_tables(spark, sf):
        UNION ALL SELECT c_custkey, 2, 'open ' || c_custkey, '' FROM customer""",
 )
 def s7_nested(spark, sf):
-    """A table in a cell, a sign in an attribute, rows and cells that are never closed."""
+    """A table in a cell, a sign in an attribute, rows and cells that are never closed. Keys and names take few
+    bytes and their pages much work, so rows are dealt out before pages are made of them."""
     text = lambda c: F.col(c).cast("string")
     page = F.concat(
         F.lit("<body><!-- <table><tr><td>no</td></tr></table> --><TABLE title='a > b'><tr><th>Name<th>Segment<tr class=\"x>y\"><td>"), text("c_name"),
         F.lit("<table><tr><td>"), text("c_nationkey"), F.lit("</td><td> inner</td></tr></table></td>\n<td data-x='</td>'>"), text("c_mktsegment"),
         F.lit(" &gt; x</td></tr><tr><td>open "), text("c_custkey"), F.lit("<td></table><table><tr><td>h</td></tr><tr><td>other</td></tr></table>"),
     )
-    return markup.nested_table_rows(table(spark, sf, "customer").select("c_custkey", page.alias("html")), "html", ["name", "segment"], ["c_custkey"])
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").repartition("c_custkey")
+    return markup.nested_table_rows(customers.select("c_custkey", page.alias("html")), "html", ["name", "segment"], ["c_custkey"])
 
 
 @query("s8_text_extension_scan", CUSTOMERS_WITH_GAPS)

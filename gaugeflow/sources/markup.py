@@ -53,24 +53,30 @@ _REST = r"""[^'">]*+(?:(?:"[^"]*+"|'[^']*+')[^'">]*+)*+>"""
 _TAG = r"(?i)</?[a-z!]" + _REST
 
 
+def _after_first(parts: Column) -> Column:
+    """All but the first; ``parts`` stands in the expression once, so it is computed once."""
+    return F.filter(parts, lambda _, i: i > 0)
+
+
 def _outer_table(html: Column) -> Column:
     """Inside of the first ``<table>``; of tables within it only the text is left.
 
-    The page is cut at its table tags, and a depth counter is folded over the few pieces.
+    The page is cut at its table tags, and a depth counter is folded over the few pieces. Lambdas compute an
+    expression as often as it stands in them, so patterns run only where their result is kept.
     """
     bare = F.concat(F.lit(" "), F.regexp_replace(html, r"(?s)<!--.*?-->", ""))  # the first piece is before any table
     pieces = F.split(bare, r"(?i)(?=<table\b)|(?=</table\s*+>)")
 
     def take(state: Column, piece: Column) -> Column:
-        depth = F.greatest(state["depth"] + F.when(F.rlike(piece, F.lit(r"(?i)^<table\b")), 1).otherwise(-1), F.lit(0))
+        depth = F.greatest(state["depth"] + F.when(F.substring(piece, 2, 1) == "/", -1).otherwise(1), F.lit(0))
         inside = F.regexp_replace(piece, r"(?i)^</?table\b" + _REST, "")
-        text = F.when(depth == 1, inside).when(depth > 1, F.concat(F.lit(" "), F.regexp_replace(inside, _TAG, "")))
+        text = F.when(depth == 1, inside).otherwise(F.concat(F.lit(" "), F.regexp_replace(inside, _TAG, "")))
         done = state["done"] | ((state["depth"] > 0) & (depth == 0))
-        kept = F.when(~done & text.isNotNull(), F.array_append(state["kept"], text)).otherwise(state["kept"])
+        kept = F.when(~done & (depth > 0), F.array_append(state["kept"], text)).otherwise(state["kept"])
         return F.struct(depth.alias("depth"), done.alias("done"), kept.alias("kept"))
 
     start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.array().cast("array<string>").alias("kept"))
-    return F.aggregate(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), start, take, lambda state: F.array_join(state["kept"], ""))
+    return F.aggregate(_after_first(pieces), start, take, lambda state: F.array_join(state["kept"], ""))
 
 
 def nested_table_rows(df: DataFrame, html: str, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -78,10 +84,9 @@ def nested_table_rows(df: DataFrame, html: str, columns: Sequence[str], keep: Se
     table inside a cell counts as that cell's text, attributes may hold ``>``, comments are left out, and rows
     and cells need no end tags. Built-in expressions within the row; nothing is shuffled."""
     row, cell = r"(?i)<tr\b" + _REST, r"(?i)<t[dh]\b" + _REST
-    rest = lambda parts: F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    upto = lambda text, end: F.get(F.split(text, end), F.lit(0))
-    rows = df.select(*keep, F.posexplode(rest(F.split(_outer_table(F.col(html)), row))).alias("position", "row"))
-    cells = F.transform(rest(F.split(upto(F.col("row"), r"(?i)</tr\s*+>"), cell)), lambda c: upto(c, r"(?i)</t[dh]\s*+>"))
+    upto = lambda text, end: F.get(F.split(text, end, 2), F.lit(0))
+    rows = df.select(*keep, F.posexplode(_after_first(F.split(_outer_table(F.col(html)), row))).alias("position", "row"))
+    cells = F.transform(_after_first(F.split(upto(F.col("row"), r"(?i)</tr\s*+>"), cell)), lambda c: upto(c, r"(?i)</t[dh]\s*+>"))
     rows = rows.where("position > 0").withColumn("cells", cells)
 
     def text(i: int) -> Column:

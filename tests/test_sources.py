@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow import presets
 from gaugeflow.plans import clean
+from gaugeflow.queries import sources
 from gaugeflow.sources import delimited, fixed_width, markup, readings, records, text
 
 # --- fixed values: recorded sensor rows ---
@@ -199,3 +200,10 @@ def test_fixed_width_reads_nested_folders(spark, tmp_path):
     assert sorted(r["value"] for r in fixed_width.read_uint32(spark, str(tmp_path)).collect()) == [0, 1, 2, *[2**32 - 1] * 3]
     with pytest.raises(Exception, match="(?i)path"):
         fixed_width.read_uint32(spark, str(tmp_path / "absent")).collect()
+
+
+def test_nested_tables_cut_a_page_once(spark, sf):
+    """Cutting a page is the costly step: it stands in the plan once, on rows that are dealt to all tasks."""
+    plan = sources.s7_nested(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"(?=<table\b)") == 1 and plan.count(r"<tr\b") == 1
+    assert "RepartitionByExpression" in plan
