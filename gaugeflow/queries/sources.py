@@ -77,16 +77,24 @@ def s5(spark, sf):
     return records.read_json_lines(spark, path, "event_id long, user_id long, event_type string, value double")
 
 
+#: Orders in an array: a task writes a file, so files stay of one size and their number grows.
+ARRAY_ROWS = 500_000
+
+
 @query("s5_json_array_file", "SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderpriority || ' }, {[\"' || o_orderkey AS odd FROM orders")
 def s5_file(spark, sf):
-    """All orders as one array in one file, over many lines, read in blocks."""
+    """All orders as arrays over many lines, a file for each ``ARRAY_ROWS`` of them or fewer, read in blocks."""
     path = scratch_dir(spark, "s5")
     odd = F.concat("o_orderpriority", F.lit(' }, {["'), F.col("o_orderkey").cast("string"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", odd.alias("odd"))
-    first, last = (orders.agg(f("o_orderkey")).scalar() for f in (F.min, F.max))
+    files = -(-orders.count() // ARRAY_ROWS)
+    array = F.pmod(F.xxhash64("o_orderkey"), F.lit(max(files, 1)))
+    dealt = orders.withColumn("array", array)
+    ends = dealt.groupBy("array").agg(F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"))
     key, record = F.col("o_orderkey"), F.to_json(F.struct(*orders.columns), {"pretty": "true"})
-    line = F.concat(F.when(key == first, "[").otherwise(""), record, F.when(key == last, "]").otherwise(","))
-    text.write_text(orders.select("o_orderkey", line.alias("line")).orderBy("o_orderkey").coalesce(1).select("line"), path)
+    line = F.concat(F.when(key == F.col("first"), "[").otherwise(""), record, F.when(key == F.col("last"), "]").otherwise(","))
+    lines = dealt.join(F.broadcast(ends), "array").repartition(max(files, 1), "array").sortWithinPartitions("array", "o_orderkey")
+    lines.select("array", line.alias("line")).write.partitionBy("array").text(path)
     return read_json_array_blocks(spark, path, "o_orderkey long, o_totalprice double, o_orderpriority string, odd string")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gaugeflow import presets
 from gaugeflow.plans import clean
 from gaugeflow.queries import sources
+from gaugeflow.session import scratch_dir
 from gaugeflow.sources import delimited, fixed_width, markup, readings, records, text
 
 # --- fixed values: recorded sensor rows ---
@@ -207,3 +208,16 @@ def test_nested_tables_cut_a_page_once(spark, sf):
     plan = sources.s7_nested(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(r"(?=<table\b)") == 1 and plan.count(r"<tr\b") == 1
     assert "RepartitionByExpression" in plan
+
+
+def test_array_files_keep_their_size(spark, sf, monkeypatch):
+    """More orders give more files, not a larger one that one task has to write."""
+    paths = []
+    monkeypatch.setattr(sources, "scratch_dir", lambda *a: paths.append(scratch_dir(*a)) or paths[-1])
+    monkeypatch.setattr(sources, "ARRAY_ROWS", 200, raising=False)
+    want = sources.table(spark, sf, "orders")
+    got = sources.s5_file(spark, sf)
+    assert got.count() == want.count() and got.select("o_orderkey").exceptAll(want.select("o_orderkey")).isEmpty()
+    files = [os.path.join(d, f) for d, _, names in os.walk(paths[0]) for f in names if f.startswith("part-")]
+    assert len(files) >= want.count() // 200
+    assert max(open(f).read().count('"o_orderkey"') for f in files) < 400
