@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEED = 42
+#: Rows of a training table in a task. A forest keeps a weight and a place per row and tree, about a kilobyte.
+TASK_ROWS = 1 << 16
 
 
 def assembler(features: Sequence[str], output: str = "raw_features") -> VectorAssembler:
@@ -69,6 +71,13 @@ def logistic(label: str, rows: int, inverse_penalty: float = 1.0, max_iter: int
     )
 
 
+def dealt(df: DataFrame, key: str, rows: int | None = None) -> DataFrame:
+    """``df`` in tasks of about ``TASK_ROWS`` rows each, dealt by ``key``: a small table is not scattered over
+    tasks that cost more than its rows, and the tasks of a large one stay of one size however its files are cut."""
+    rows = df.count() if rows is None else rows
+    return df.repartition(max(1, -(-rows // TASK_ROWS)), key)
+
+
 def cross_validate(
     estimator: Estimator, grid: list, df: DataFrame, label: str, fold_col: str, folds: int = 3, parallelism: int = 2
 ) -> CrossValidatorModel:

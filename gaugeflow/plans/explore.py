@@ -58,10 +58,11 @@ def compare_classifiers(
     usable = filters.drop_incomplete_rows(df, [*features, target])
     labelled, _ = quality.binarise_by_median(usable, target, "label")
     train, test = split.hash_split(labelled.withColumn("label", F.col("label").cast("double")), key)
-    train = train.persist()
+    n = train.count()
+    train = pipelines.dealt(train, key, n).persist()
     try:
         fits = {
-            "logistic": pipelines.pipeline(features, pipelines.logistic("label", train.count())).fit(train),
+            "logistic": pipelines.pipeline(features, pipelines.logistic("label", n)).fit(train),
             "forest": pipelines.pipeline(features, pipelines.forest_classifier("label", trees, depth)).fit(train),
         }
     finally:

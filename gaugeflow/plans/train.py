@@ -47,10 +47,13 @@ def train_and_compare(
     started = time.monotonic()
     spark = df.sparkSession
     features = feature_columns(df, exclude={key, target, *exclude})
-    rows = split.with_fold(df.select(key, target, *features), key, folds).persist()
+    read = split.with_fold(df.select(key, target, *features), key, folds).persist()
+    total = read.count()
+    rows = pipelines.dealt(read, key, total).persist()
     try:
         train, test = split.hash_split(rows, key)
-        total, n_train = rows.count(), train.count()
+        n_train = train.count()
+        read.unpersist()
 
         def best_net() -> PipelineModel:
             found = min(moments.search(train, features, target, "fold", *elastic), key=lambda s: s.rmse)

@@ -176,3 +176,21 @@ def test_many_centres_are_pruned_and_exact():
     away = ((points[:, None] - centres[None]) ** 2).sum(axis=2)
     assert (best == away.argmin(axis=1)).all() and np.allclose(least, away.min(axis=1)) and best[-2] == 42
     assert measured < 0.1 * away.size
+
+
+def test_training_tables_are_dealt_by_their_rows(spark, monkeypatch):
+    """Neither many tasks for few rows nor few tasks for many, however the table is cut."""
+    from gaugeflow.learning import pipelines
+    from gaugeflow.plans import train
+
+    seen = []
+    fit = pipelines.RandomForestRegressor._fit
+    monkeypatch.setattr(pipelines.RandomForestRegressor, "_fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    rows = spark.range(0, 600, 1, 50).selectExpr("id", "double(id % 7) AS a", "double(id % 5) AS b", "double(id % 7 * 2) AS y")
+    forest = ((2,), (2,))
+    train.train_and_compare(rows, "id", "y", forest=forest)
+    assert seen and max(seen) == 1
+    seen.clear()
+    monkeypatch.setattr(pipelines, "TASK_ROWS", 100, raising=False)
+    train.train_and_compare(rows.coalesce(1), "id", "y", forest=forest)
+    assert seen and min(seen) == 6
