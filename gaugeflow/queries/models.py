@@ -175,7 +175,7 @@ def l6(spark, sf):
     group = F.col("user_id") % 4
     rows = _grouped_events(spark, sf, group).withColumn("target", group.cast("double") * 10)
     train, test = split.hash_split(rows, "event_id")
-    model = pipelines.pipeline(GROUP_FEATURES, pipelines.forest_regressor("target", numTrees=100, maxDepth=10)).fit(train)
+    model = pipelines.pipeline(GROUP_FEATURES, pipelines.forest_regressor("target", numTrees=100, maxDepth=10)).fit(pipelines.dealt(train, "event_id"))
     return model.transform(test).select("event_id", "target", F.round("prediction", 4).alias("prediction"))
 
 
@@ -201,7 +201,7 @@ TOLD_APART = f"SELECT vec_id, CAST(label AS INTEGER) AS label, CAST(label AS INT
 def l7(spark, sf):
     """Every element tells all classes apart by a wide gap."""
     train, test = split.hash_split(_with_vectors(_shifted(spark, sf, lambda x: F.col("label") * 10 + F.signum(x))), "vec_id")
-    model = pipelines.forest_classifier("label").fit(train)
+    model = pipelines.forest_classifier("label").fit(pipelines.dealt(train, "vec_id"))
     return model.transform(test).select("vec_id", F.col("label").cast("int"), F.col("prediction").cast("int"))
 
 
@@ -307,7 +307,7 @@ def l15(spark, sf):
     """One feature tells all classes apart; importances sum to one."""
     wide = pipelines.with_features(table(spark, sf, "embeddings"), "embedding", DIMS)
     wide = wide.withColumn("e0", F.col("label") * 10 + F.signum("e0"))
-    model = pipelines.pipeline(DIMS, pipelines.forest_classifier("label")).fit(wide)
+    model = pipelines.pipeline(DIMS, pipelines.forest_classifier("label")).fit(pipelines.dealt(wide, "vec_id"))
     found = pipelines.importances(spark, model)
     return found.agg(F.max_by("feature", "importance").alias("first"), F.round(F.sum("importance"), 6).alias("total"), F.count("feature").alias("features"))
 
