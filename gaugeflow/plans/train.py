@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from .. import presets
 from ..learning import clustering, comparison, moments, pipelines, split
 from ..operators import filters, quality, stats
-from ..operators.schema import feature_columns
+from ..operators.schema import feature_columns, quoted
 from ..sources.records import write_json
 
 
@@ -141,9 +141,9 @@ def train_service_models(
     columns, target = classification
     usable = filters.drop_incomplete_rows(df, [*columns, target])
     labelled, middle = quality.binarise_by_median(usable, target, "high")
-    train, test = split.hash_split(labelled, key)
+    train, test = split.hash_split(labelled.select(key, *columns, "high"), key)
     forest = pipelines.forest_classifier("high", trees, depth)
-    models["classification"] = pipelines.pipeline(columns, forest).fit(train)
+    models["classification"] = pipelines.pipeline(columns, forest).fit(pipelines.dealt(train, key))
     scored = models["classification"].transform(test)
     record["classification"] = {
         "features": list(columns), "target": f"high {target}", "median": middle,
@@ -152,9 +152,11 @@ def train_service_models(
     }
 
     columns, ordering = clusters
-    usable = filters.drop_incomplete_rows(df, list({*columns, ordering}))
+    needed = list(dict.fromkeys([*columns, ordering]))
+    usable = filters.drop_incomplete_rows(df.select(*[quoted(c) for c in needed]), needed)
     prepared = Pipeline(stages=[pipelines.assembler(columns), pipelines.scaler()]).fit(usable)
-    vectors = prepared.transform(usable).persist()
+    vectors = prepared.transform(usable).select(quoted(ordering), "features").persist()
+    vectors.count()  # all parts at once; the fit first asks for one row, which would fill the first part alone
     try:
         fitted = clustering.fit_kmeans(vectors, k, seeds=seeds)
         assigned = fitted.transform(vectors).withColumnRenamed("prediction", "cluster")

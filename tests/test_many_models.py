@@ -194,3 +194,15 @@ def test_training_tables_are_dealt_by_their_rows(spark, monkeypatch):
     monkeypatch.setattr(pipelines, "TASK_ROWS", 100, raising=False)
     train.train_and_compare(rows.coalesce(1), "id", "y", forest=forest)
     assert seen and min(seen) == 6
+
+
+def test_service_clusters_keep_only_their_columns(spark, monkeypatch):
+    """The rows kept for the passes of k-means carry no columns of the other models."""
+    from gaugeflow.plans import train
+
+    seen = []
+    fit = train.clustering.fit_kmeans
+    monkeypatch.setattr(train.clustering, "fit_kmeans", lambda df, *a, **k: seen.append(df.columns) or fit(df, *a, **k))
+    rows = spark.range(0, 400, 1, 2).selectExpr("id", "double(id % 7) AS a", "double(id % 4 * 10) AS b", "double(id % 7 * 2) AS y", "'wide' AS more")
+    train.train_service_models(rows, "id", (["a"], "y"), (["b"], "y"), (["b"], "b"), trees=2, depth=2, seeds=(42,))
+    assert seen == [["b", "features"]]
