@@ -12,6 +12,7 @@ a task joins two leaves.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,6 +33,7 @@ WIDTH, PERCENT, GROUPS = 4, 85, 64
 #: Distinct texts in a leaf.
 LEAF = 192
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+_NONE = np.zeros(0, np.int64)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
@@ -73,37 +75,56 @@ def size_class(n: int, percent: int) -> tuple[int, int]:
 
 
 @lru_cache(None)
-def _level(k: int, percent: int) -> tuple[int, int]:
-    """(most shingles in which two linked sets of sizes up to class k differ, number of groups)."""
-    low = 1
+def _level(k: int, percent: int) -> tuple[int, int, int]:
+    """(most shingles in which two linked sets of sizes up to class k differ, number of groups, spare ones).
+
+    Of t + 1 + s groups linked sets agree in s + 1 at least, so each may leave s of its keys out. These are
+    the keys that say least: those of empty groups, of which the smallest sets of the level (of the class
+    before) have s less four deviations, then those that many sets have.
+    """
+    low = before = 1
     for _ in range(k):
-        low = low * 100 // percent + 1
+        low, before = low * 100 // percent + 1, low
     high = low * 100 // percent
     differ = 2 * high * (100 - percent) // (100 + percent)
-    return differ, differ + 1 + SPARE
-
-
-#: Groups beyond t + 1, so that linked sets agree in a group that is not empty unless more are empty.
-SPARE = 2
-
-
-def routing_keys(own: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of which linked, different sets share at least one (at the larger one's size class)."""
+    for spare in range(2, high):
+        groups = differ + 1 + spare
+        share = math.exp(-before / groups)  # of the groups, empty
+        if spare >= groups * share + 4 * math.sqrt(groups * share * (1 - (1 + before / groups) * share)):
+            break
+    else:
+        spare = 2
+    return differ, differ + 1 + spare, spare
+
+
+def routing_keys(own: np.ndarray, percent: int, hot: np.ndarray = _NONE, often: np.ndarray = _NONE) -> np.ndarray:
+    """Keys of which linked, different sets share at least one (at the larger one's size class). ``hot`` are
+    keys of many sets, sorted, and ``often`` says how many; any such list gives keys with this property.
+
+    Keys have one order for all sets: not hot, hot by number, of empty groups. A set leaves out the last ``spare``
+    of its keys, as far as they are hot or of empty groups. Of the spare + 1 keys that linked sets share at
+    least, the first has ``spare`` others behind it on both sides, so both keep it.
+    """
     k, _ = size_class(len(own), percent)
     out = []
     for level in (k, k + 1):
-        differ, groups = _level(level, percent)
+        differ, groups, spare = _level(level, percent)
         if not differ:
             continue  # at this size only equal sets link
         group = (mix(own ^ np.uint64(level + 1)) % np.uint64(groups)).astype(np.int64)
         order = np.argsort(group, kind="stable")
         ids, first = np.unique(group[order], return_index=True)
-        content = np.add.reduceat(mix(own)[order], first)
-        if groups - len(ids) > SPARE:  # may agree in empty groups only
-            empty = np.setdiff1d(np.arange(groups), ids)
-            ids, content = np.concatenate([ids, empty]), np.concatenate([content, np.zeros(len(empty), np.uint64)])
-        out.append(mix(content ^ mix(ids.astype(np.uint64) + np.uint64(level << 32))))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        content, weight = np.zeros(groups, np.uint64), np.full(groups, 1 << 62, np.int64)
+        content[ids], weight[ids] = np.add.reduceat(mix(own)[order], first), 0
+        key = mix(content ^ mix(np.arange(groups, dtype=np.uint64) + np.uint64(level << 32))).astype(np.int64)
+        if len(hot):
+            at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
+            weight = np.where((hot[at] == key) & (weight == 0), often[at], weight)
+        if np.count_nonzero(weight) <= spare:
+            out.append(key[weight == 0])
+        else:
+            out.append(key[np.lexsort((key, weight))[: groups - spare]])
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
 def _each_set(batch: pa.RecordBatch, column: str, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -127,9 +148,10 @@ def _signatures(width: int):
     return run
 
 
-def _keys(width: int, percent: int, hot: frozenset[int] = frozenset()):
-    """(key, salt, node) of every distinct set of a batch; keys in ``hot`` are dealt over SALTS salts."""
-    many = np.array(sorted(hot), np.int64)
+def _keys(width: int, percent: int, hot: np.ndarray = _NONE, often: np.ndarray = _NONE):
+    """(key, salt, node) of every distinct set of a batch; keys in ``hot`` of which more than a task's worth
+    are left are dealt over SALTS salts."""
+    many = hot[often >= HOT]
 
     def run(batches):
         release_encoders()
@@ -139,58 +161,113 @@ def _keys(width: int, percent: int, hot: frozenset[int] = frozenset()):
                 node = _set_hash(own, 1)
                 if len(own) and node not in seen:
                     seen.add(node)
-                    keys.append(routing_keys(own, percent))
+                    keys.append(routing_keys(own, percent, hot, often))
                     nodes.append(np.full(len(keys[-1]), node, np.int64))
             if keys:
-                key, node = np.concatenate(keys).astype(np.int64), np.concatenate(nodes)
+                key, node = np.concatenate(keys), np.concatenate(nodes)
                 salt = np.where(np.isin(key, many), node % SALTS, 0)
                 yield pa.record_batch([pa.array(key), pa.array(salt), pa.array(node)], names=["key", "salt", "node"])
 
     return run
 
 
-def _chain(hot: frozenset[int]):
-    """Edges from the first node of each key and salt to the others, in a stream sorted by (key, salt, node).
-    The first node of each salt of a hot key is given as well (``u`` null), as the key goes on in other salts."""
-    many = np.array(sorted(hot), np.int64)
+def _meetings(many: np.ndarray):
+    """Edges ``(key, u, v)`` among the nodes of each key and salt, in a stream sorted by (key, salt, node): all
+    pairs of PAIRS nodes or fewer (``key`` 1), else from the first node to the others (``key`` 0). The first
+    node of each salt of a key in ``many`` is given as well (``u`` null), as the key goes on in other salts."""
+
+    def edges(rows: np.ndarray, goes_on: bool):
+        """Of whole keys; only the first one may have begun before."""
+        begin = np.flatnonzero(np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(0)]))
+        length = np.diff(np.append(begin, rows.shape[1]))
+        few = (length <= PAIRS) & ~np.isin(rows[0, begin], many)
+        few[0] &= not goes_on
+        close = np.repeat(few, length)
+        node, first, end = rows[2], np.repeat(rows[2, begin], length), np.repeat(begin + length, length)
+        star = ~close & (first != node)
+        u, v = [first[star]], [node[star]]
+        at = np.flatnonzero(close)
+        for step in range(1, PAIRS):
+            at = at[at + step < end[at]]
+            u.append(node[at])
+            v.append(node[at + step])
+        kind = np.repeat([0, 1], [len(u[0]), sum(map(len, u[1:]))])
+        u, v = np.concatenate(u), np.concatenate(v)
+        out = np.unique(np.stack([kind, u, v])[:, u != v], axis=1)
+        rims = np.isin(rows[0, begin], many)
+        rims[0] &= not goes_on
+        heads = rows[:, begin[rims]]
+        key = np.concatenate([out[0], heads[0]])
+        u = pa.array(np.concatenate([out[1], heads[2]]), mask=np.arange(len(key)) >= out.shape[1])
+        return pa.record_batch([pa.array(key), u, pa.array(np.concatenate([out[2], heads[2]]))], names=["key", "u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = np.zeros((3, 0), np.int64)
+        held, goes_on = np.zeros((3, 0), np.int64), False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            fresh = np.stack([batch.column(c).to_numpy() for c in ("key", "salt", "node")])
-            rows = np.concatenate([head, fresh], axis=1)
-            opens = np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(0)])
-            first = rows[2][np.maximum.accumulate(np.where(opens, np.arange(len(opens)), 0))]
-            apart = first != rows[2]
-            pairs = np.unique(np.stack([first[apart], rows[2][apart]]), axis=1)
-            opens[: head.shape[1]] = False  # given before
-            rims = rows[:, opens & np.isin(rows[0], many)]
-            key = np.concatenate([np.zeros(pairs.shape[1], np.int64), rims[0]])
-            u = pa.array(np.concatenate([pairs[0], rims[2]]), mask=np.arange(len(key)) >= pairs.shape[1])
-            yield pa.record_batch([pa.array(key), u, pa.array(np.concatenate([pairs[1], rims[2]]))], names=["key", "u", "v"])
-            head = np.stack([rows[0, -1:], rows[1, -1:], first[-1:]])
+            rows = np.concatenate([held, np.stack([batch.column(c).to_numpy() for c in ("key", "salt", "node")])], axis=1)
+            rows = rows[:, np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(0)])]  # copies have the same node
+            others = np.flatnonzero((rows[:2] != rows[:2, -1:]).any(0))
+            last = int(others[-1]) + 1 if len(others) else 0
+            if rows.shape[1] - last <= PAIRS and not (goes_on and last == 0):
+                if last:  # the last key may go on
+                    yield edges(rows[:, :last], goes_on)
+                    goes_on = False
+                held = rows[:, last:]
+            else:
+                yield edges(rows, goes_on)
+                held, goes_on = rows[:, last : last + 1], True
+        if held.shape[1]:
+            yield edges(held, goes_on)
 
     return run
 
 
-#: Parts that the nodes of a hot key are dealt over; one row in so many is looked at to find hot keys, and
-#: so many of them are hot at least. These three only balance the load.
-SALTS, LOOK, HOT = 64, 32, 32
+#: Nodes of a key that are compared with each other.
+PAIRS = 64
+#: One row in so many is looked at to find hot keys; those of so many of them at least are hot, and from so
+#: many their nodes are dealt over so many parts. None of these changes results.
+LOOK, WARM, HOT, SALTS = 16, 3, 64, 64
+#: Hot keys at most; every task has them.
+HELD = 100_000
+
+
+def _bounded(edges: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """The edges ``(u, v)`` whose ends may link by the bound that their points give."""
+    points = signed.where("n_shingles > 0").groupBy(F.col("s1").alias("node")).agg(F.min(F.struct(F.col("n_shingles").alias("n"), "point")).alias("p"))
+    side = lambda c: points.select(F.col("node").alias(c), F.col("p.n").alias(f"n{c}"), F.col("p.point").alias(f"p{c}"))
+    near = edges.join(side("u"), "u").join(side("v"), "v").where(f"100 * least(nu, nv) >= {percent} * greatest(nu, nv)")
+
+    def run(batches):
+        for batch in batches:
+            sizes = batch.column("nu").to_numpy() + batch.column("nv").to_numpy()
+            bound = np.array([_overlap(a, b) for a, b in zip(batch.column("pu").to_pylist(), batch.column("pv").to_pylist())], np.int64)
+            fits = pa.array((100 + percent) * bound >= percent * sizes)
+            yield pa.record_batch([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(fits)
+
+    return near.select("u", "v", "nu", "nv", "pu", "pv").mapInArrow(run, "u long, v long")
+
+
+def _overlap(a: bytes, b: bytes) -> int:
+    """The most that sets of these fine points can share; partners have as many groups or twice as many."""
+    a, b = sorted((np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)), key=len)
+    return int(np.minimum(a, b.reshape(-1, len(a)).sum(0)).sum())
 
 
-def candidate_edges(texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """``(u, v)`` that connect all sets sharing a routing key, and the table that they read."""
+def candidate_edges(texts: DataFrame, signed: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``(u, v)`` that connect all sets sharing a routing key that may link, and the table that they read.
+    The pairs of a key of few sets are looked at one by one; other keys connect all their sets."""
     few = texts.where(F.pmod("hash", F.lit(LOOK)) == 0).select("text").mapInArrow(_keys(width, percent), "key long, salt long, node long")
-    often = few.groupBy("key").count().where(F.col("count") >= HOT).orderBy(F.desc("count")).limit(10_000).collect()
-    hot = frozenset(r["key"] for r in often)
-    keys = texts.select("text").mapInArrow(_keys(width, percent, hot), "key long, salt long, node long")
+    found = few.groupBy("key").count().where(F.col("count") >= WARM).orderBy(F.desc("count"), "key").limit(HELD).orderBy("key").toArrow()
+    hot, often = (found.column(c).to_numpy() for c in ("key", "count"))
+    keys = texts.select("text").mapInArrow(_keys(width, percent, hot, often), "key long, salt long, node long")
     met = keys.repartition("key", "salt").sortWithinPartitions("key", "salt", "node")
-    found = materialise(met.mapInArrow(_chain(hot), "key long, u long, v long").distinct(), "chains")
+    found = materialise(met.mapInArrow(_meetings(hot[often >= HOT]), "key long, u long, v long").distinct(), "chains")
     rims = found.where("u is null").groupBy("key").agg(F.min("v").alias("u"))
     across = found.where("u is null").select("key", "v").join(rims, "key").select("u", "v")
-    return found.where("u is not null").select("u", "v").union(across).where("u != v"), found
+    sure = found.where("u is not null and key = 0").select("u", "v").union(across).where("u != v")
+    return sure.union(_bounded(found.where("u is not null and key = 1").select("u", "v"), signed, percent)), found
 
 
 class Forest:
@@ -410,7 +487,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     docs = df.select(F.col(key).cast("long").alias("doc_id"), whole_text(text).alias("text")).withColumn("hash", F.xxhash64("text"))
     signed = materialise(docs.mapInArrow(_signatures(width), "doc_id long, hash long, n_shingles long, s1 long, s2 long, point binary"), "shingles")
     classes = signed.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"))
-    edges, chains = candidate_edges(docs, width, percent)
+    edges, chains = candidate_edges(docs, signed, width, percent)
     clusters = components(edges)
     release(chains)
     members = classes.join(clusters, classes["s1"] == clusters["node"]).select(F.col("component").alias("cluster"), "n", "s1", "s2", "least")
