@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import number_rows
-from ..session import materialise
+from ..session import materialise, release
 from .common import read, whole_text
 
 PARAGRAPH = r"[^\n.!?]{1,96}+[.!?]*+|[.!?]++"
@@ -169,10 +169,13 @@ def compare_versions(df: DataFrame, key: str = "doc_id", text: str = "text", cel
         digests(F.col("text")).alias("own"),
         digests(F.col("edited")).alias("edited"),
     )
-    sets = materialise(sets.withColumn("row", F.monotonically_increasing_id()), "digests")
-    nexts = sets.groupBy(F.col("doc_id").alias("link")).agg(F.min("own").alias("b"))
+    alone = materialise(sets.withColumn("row", F.monotonically_increasing_id()), "digests")
+    nexts = alone.groupBy(F.col("doc_id").alias("link")).agg(F.min("own").alias("next"))
+    # joined once, as every round of sketches reads the pairs again
+    sets = materialise(alone.join(nexts, F.col("next_id").eqNullSafe(F.col("link"))).drop("link", "next_id"), "versions")
+    release(alone)
     own = sets.select((F.col("row") * 2).alias("pair"), F.col("own").alias("a"), F.col("edited").alias("b"))
-    follow = sets.join(nexts, F.col("next_id").eqNullSafe(F.col("link"))).select((F.col("row") * 2 + 1).alias("pair"), F.col("own").alias("a"), "b")
+    follow = sets.select((F.col("row") * 2 + 1).alias("pair"), F.col("own").alias("a"), F.col("next").alias("b"))
     apart = differences(own.union(follow), cells).withColumns({"row": F.shiftright("pair", 1), "near": likeness(F.col("only_a"), F.col("only_b"), F.col("total"))})
     first = F.pmod("pair", F.lit(2)) == 0
     pick = lambda c, when: F.max(F.when(when, F.col(c)))
