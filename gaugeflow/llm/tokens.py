@@ -6,6 +6,7 @@ import ctypes
 import gc
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 
@@ -49,31 +50,39 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _store(self, words: list[str], found: list[np.ndarray]) -> None:
-        for word, ids in zip(words, found):
-            k = len(self.at)
-            if k == len(self.start):
-                self.start, self.size = np.resize(self.start, 2 * k), np.resize(self.size, 2 * k)
-            if self.used + len(ids) > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.at[word], self.start[k], self.size[k] = k, self.used, len(ids)
-            self.used += len(ids)
+    def _store(self, words: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        """Hold new words, whose ids follow each other in ``ids``."""
+        k, n, end = len(self.at), len(self.at) + len(words), self.used + len(ids)
+        if n > len(self.start):
+            self.start, self.size = np.resize(self.start, 2 * n), np.resize(self.size, 2 * n)
+        if end > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * end)
+        self.ids[self.used : end] = ids
+        self.start[k:n], self.size[k:n] = self.used + np.cumsum(size) - size, size
+        self.at.update(zip(words, range(k, n)))
+        self.used = end
+
+    def _store_whole(self, words: list[str]) -> None:
+        if words:
+            found = self.whole(words)
+            self._store(words, np.concatenate(found), np.array([len(ids) for ids in found], np.int64))
 
     def _learn(self, words: list[str]) -> None:
         """Encode new words: many in one text, cut again where the sign between them shows."""
         joined = [w for w in words if not w.isspace()]
-        alone = [w for w in words if w.isspace()]
-        self._store(alone, self.whole(alone))
+        self._store_whole([w for w in words if w.isspace()])
         for i in range(0, len(joined), 512):
             part = joined[i : i + 512]
             ids = self.whole([self.between.join(part)])[0]
             marks = np.flatnonzero(self.ends[ids])
             if self.kind == "words":
-                found = np.split(ids, marks[:-1] + 1)
+                cuts = marks[:-1] + 1
             else:
-                found = np.split(np.delete(ids, marks), marks - np.arange(len(marks)))
-            self._store(part, found if len(found) == len(part) else self.whole(part))
+                ids, cuts = np.delete(ids, marks), marks - np.arange(len(marks))
+            if len(cuts) + 1 == len(part):
+                self._store(part, ids, np.diff(cuts, prepend=0, append=len(ids)))
+            else:
+                self._store_whole(part)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
@@ -89,12 +98,13 @@ class Encoder:
             counts.append(len(own))
         for k, ids in zip(rest, self.whole([texts[k] for k in rest])):
             out[k] = ids
-        distinct = set(words)
-        new = distinct.difference(self.at)
+        at = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
+        missed = np.flatnonzero(at < 0)
+        new = {words[k] for k in missed.tolist()}
         keep, used = len(self.at) + len(new) <= self.held, self.used
         if new:
             self._learn(sorted(new))
-        at = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+            at[missed] = [self.at[words[k]] for k in missed.tolist()]
         size = self.size[at]
         before = np.cumsum(size) - size
         flat = self.ids[np.repeat(self.start[at] - before, size) + np.arange(int(size.sum()))]
