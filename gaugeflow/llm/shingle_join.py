@@ -148,25 +148,39 @@ def _signatures(width: int):
     return run
 
 
+#: Keys that a task gives at a time, and sets that it remembers to have given the keys of.
+PORTION, SEEN = 1 << 16, 1 << 16
+
+
 def _keys(width: int, percent: int, hot: np.ndarray = _NONE, often: np.ndarray = _NONE):
-    """(key, salt, node) of every distinct set of a batch; keys in ``hot`` of which more than a task's worth
-    are left are dealt over SALTS salts."""
+    """(key, salt, node) of every distinct set, about PORTION rows at a time, as a set of a few hundred shingles
+    has hundreds of keys; keys in ``hot`` of which more than a task's worth are left are dealt over SALTS salts."""
     many = hot[often >= HOT]
 
+    def portion(keys, nodes):
+        key, node = np.concatenate(keys), np.concatenate(nodes)
+        salt = np.where(np.isin(key, many), node % SALTS, 0)
+        return pa.record_batch([pa.array(key), pa.array(salt), pa.array(node)], names=["key", "salt", "node"])
+
     def run(batches):
         release_encoders()
+        seen: set[int] = set()
         for batch in batches:
-            seen, keys, nodes = set(), [], []
+            keys, nodes, held = [], [], 0
             for _, own in _each_set(batch, "text", width):
                 node = _set_hash(own, 1)
                 if len(own) and node not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()  # what is met again gives its keys again
                     seen.add(node)
                     keys.append(routing_keys(own, percent, hot, often))
                     nodes.append(np.full(len(keys[-1]), node, np.int64))
+                    held += len(keys[-1])
+                    if held >= PORTION:
+                        yield portion(keys, nodes)
+                        keys, nodes, held = [], [], 0
             if keys:
-                key, node = np.concatenate(keys), np.concatenate(nodes)
-                salt = np.where(np.isin(key, many), node % SALTS, 0)
-                yield pa.record_batch([pa.array(key), pa.array(salt), pa.array(node)], names=["key", "salt", "node"])
+                yield portion(keys, nodes)
 
     return run
 

@@ -9,6 +9,7 @@ import re
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 
 # Signs below U+0250 whose class both regex engines agree on; a text with any other is encoded whole.
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -129,15 +130,16 @@ def encoder(path: str) -> Encoder:
 
 
 def release() -> None:
-    """Give the memory of this worker's encoders back; for tasks of operators that do not encode. A worker
-    process is used again by later stages and would hold them for good."""
+    """Give the memory of this worker's encoders back, and what its tasks before have freed; for tasks of
+    operators that do not encode. A worker process is used again by later stages and would hold it for good."""
     if _ENCODERS:
         _ENCODERS.clear()
         gc.collect()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):  # another C library keeps its own counsel
-            pass
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library keeps its own counsel
+        pass
 
 
 def portions(texts: list[str], limit: int = 1 << 20):
