@@ -16,14 +16,51 @@ _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _NUMBER = "0-9²³¹¼-¾"
 _BLANK = "\\t-\\r\\x20"
 _OTHER_SIGN = re.compile("[^\\t-\\r\\x20-\\x7e¡-ɏ]")
-_SHORT = "'s|'t|'re|'ve|'m|'ll|'d|"
-
-#: How each kind of vocabulary cuts a text into words that are encoded independently (the rule stands in
-#: its file), and the sign put between words to encode many at once.
-_CUTS = {
-    "bytes": (re.compile(f"{_SHORT} ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_BLANK}{_LETTER}{_NUMBER}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"), "\n"),
-    "words": (re.compile(f"{_SHORT}[{_LETTER}]+|[{_NUMBER}]|[^{_BLANK}{_LETTER}{_NUMBER}]+"), " "),
-}
+#: Classes of signs: white space, letters, digits, others, and the sign put behind each text (no text that is cut has it).
+_SPACE, _LETTERS, _DIGITS, _OTHERS, _END = range(5)
+_CLASS = np.full(0x250, _OTHERS, np.uint8)
+for _kind, _signs in ((_SPACE, _BLANK), (_LETTERS, _LETTER), (_DIGITS, _NUMBER)):
+    _CLASS[[k for k in range(0x250) if re.match(f"[{_signs}]", chr(k))]] = _kind
+_CLASS[0] = _END
+_ASCII = bytes(_CLASS[:128]) + bytes(128)
+
+#: The sign put between words of each kind of vocabulary to encode many at once.
+_BETWEEN = {"bytes": "\n", "words": " "}
+
+
+def _cut(texts: list[str], kind: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The words of texts, encoded independently by the rule that stands in the file of a vocabulary:
+    distinct words, the number of each word among them, and how many words each text has.
+
+    "bytes": ``'s|'t|'re|'ve|'m|'ll|'d| ?L+| ?N+| ?O+|S+(?!\\S)|S+`` for letters, digits, others and white space;
+    "words": the same endings, ``L+|N|O+``, and white space is left out.
+    """
+    data = "\0".join([*texts, ""]).encode()
+    signs, c = np.frombuffer(data, np.uint8), np.frombuffer(bytearray(data.translate(_ASCII)), np.uint8)
+    wide = np.flatnonzero(signs >= 0xC0)  # signs of two bytes, which get the class of the sign
+    c[wide] = c[wide + 1] = _CLASS[((signs[wide].astype(np.int64) & 31) << 6) | (signs[wide + 1] & 63)]
+    start = np.ones(len(c), bool)
+    start[1:] = c[1:] != c[:-1]
+    if kind == "bytes":
+        start[1:] &= signs[:-1] != 32
+        start[:-1] |= (c[:-1] == _SPACE) & (c[1:] != _SPACE) & (c[1:] != _END)
+    else:
+        start |= (c == _DIGITS) & (signs & 0xC0 != 0x80)
+    short = np.flatnonzero(start & (signs == 39))
+    signs = np.concatenate([signs, np.zeros(3, signs.dtype)])
+    one, two = signs[short + 1], signs[short + 2]
+    long_ = ((two == ord("e")) & ((one == ord("r")) | (one == ord("v")))) | ((one == ord("l")) & (two == ord("l")))
+    length = np.where(long_, 3, np.where(np.isin(one, [ord(x) for x in "stmd"]), 2, 0))
+    short, length = short[length > 0], length[length > 0]
+    start[short + 1] = False
+    start[(short + length)[c[short + length] == _LETTERS]] = True
+    start |= c == _END
+    edges = np.flatnonzero(start)
+    offsets = np.append(edges, len(data))
+    found = pa.LargeStringArray.from_buffers(len(edges), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+    ends = c[edges] == _END
+    word = ~ends if kind == "bytes" else ~ends & (c[edges] != _SPACE)
+    return found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()[word], np.diff(np.cumsum(word)[ends], prepend=0)
 
 
 class Encoder:
@@ -37,7 +74,7 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = "words" if any(t.endswith("</w>") for t in vocabulary) else "bytes"
-        self.cut, self.between = _CUTS[self.kind]
+        self.between = _BETWEEN[self.kind]
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if (t.endswith("</w>") if self.kind == "words" else t == "Ċ")]] = True
         self.held = held
@@ -71,45 +108,46 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         """Encode new words: many in one text, cut again where the sign between them shows."""
         joined = [w for w in words if not w.isspace()]
-        self._store_whole([w for w in words if w.isspace()])
-        for i in range(0, len(joined), 512):
-            part = joined[i : i + 512]
-            ids = self.whole([self.between.join(part)])[0]
+        if len(joined) < len(words):
+            self._store_whole([w for w in words if w.isspace()])
+        after = "" if self.kind == "words" else self.between
+        for i in range(0, len(joined), 8192):
+            part = joined[i : i + 8192]
+            ids = np.concatenate(self.whole([self.between.join(part[k : k + 64]) + after for k in range(0, len(part), 64)]))
             marks = np.flatnonzero(self.ends[ids])
-            if self.kind == "words":
-                cuts = marks[:-1] + 1
-            else:
-                ids, cuts = np.delete(ids, marks), marks - np.arange(len(marks))
-            if len(cuts) + 1 == len(part):
-                self._store(part, ids, np.diff(cuts, prepend=0, append=len(ids)))
-            else:
+            if len(marks) != len(part):
                 self._store_whole(part)
+                continue
+            size = np.diff(marks, prepend=-1)
+            if after:
+                ids, size = ids[~self.ends[ids]], size - 1
+            self._store(part, ids, size)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
-        plain, words, counts, rest = [], [], [], []
+        plain, views, rest = [], [], []
         for k, text in enumerate(texts):
             view = text.lower() if self.kind == "words" else text
             if _OTHER_SIGN.search(view) or any(s in text for s in self.special):
                 rest.append(k)
                 continue
-            own = self.cut.findall(view)
             plain.append(k)
-            words += own
-            counts.append(len(own))
+            views.append(view)
         for k, ids in zip(rest, self.whole([texts[k] for k in rest])):
             out[k] = ids
-        at = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
-        missed = np.flatnonzero(at < 0)
-        new = {words[k] for k in missed.tolist()}
+        words, of, counts = _cut(views, self.kind)
+        found = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
+        missed = np.flatnonzero((found < 0) & (np.bincount(of, minlength=len(words)) > 0))
+        new = [words[k] for k in missed.tolist()]
         keep, used = len(self.at) + len(new) <= self.held, self.used
         if new:
-            self._learn(sorted(new))
-            at[missed] = [self.at[words[k]] for k in missed.tolist()]
+            self._learn(new)
+            found[missed] = [self.at[w] for w in new]
+        at = found[of]
         size = self.size[at]
         before = np.cumsum(size) - size
         flat = self.ids[np.repeat(self.start[at] - before, size) + np.arange(int(size.sum()))]
-        place = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])]
+        place = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
         for k, a, b in zip(plain, place[:-1], place[1:]):
             out[k] = flat[a:b]
         if not keep:  # the words held first are the frequent ones and stay
