@@ -19,6 +19,8 @@ BITS = 18
 MAX_TRAINING_ROWS = 16_000
 #: Learners that follow the leader side by side; their weights are averaged after each round.
 SHARDS, ROUNDS = 4, 3
+#: Slots of a learner's state in one row.
+PART = 1 << 14
 
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[97:123], _CLASS[65:91], _CLASS[48:58], _CLASS[128:] = ord("a"), ord("A"), ord("0"), ord("a")
@@ -87,45 +89,65 @@ def _with_bias(at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fit(labelled: DataFrame, bits: int = BITS, shards: int = SHARDS, rounds: int = ROUNDS, key: str = "doc_id", text: str = "text", label: str = "label"):
     """Weights from all rows of ``labelled`` (key, text, label 0/1); :func:`bounded_sample` bounds them.
 
-    Each shard learns its own rows in a fixed order, starting from the state averaged over all shards;
-    only ``shards`` states of ``2^bits`` numbers return to the driver in a round. Rows without a label
-    are left out. Without any row all weights are 0, so every score is one half.
+    Each shard learns its own rows in a fixed order, starting from the state averaged over all shards.
+    States go from round to round between tasks, ``PART`` slots to a row; only the weights of the last
+    state, 4 bytes each, come to the driver. Rows without a label are left out. Without any row all weights
+    are 0, so every score is one half.
     """
     rank = F.xxhash64(F.col(key).cast("string"), F.lit(17))
     rows = labelled.where(F.col(label).isNotNull()).select(
         rank.alias("rank"), whole_text(text).alias("text"), F.col(label).cast("double").alias("y")
     )
     rows = rows.withColumn("shard", F.pmod("rank", F.lit(shards)).cast("int"))
-    state = (np.zeros(1 << bits), np.zeros(1 << bits))
-
-    def learn(start):
-        def run(key, pdf):
-            release()
-            leader = Leader(bits)
-            leader.z, leader.n = start.value[0].copy(), start.value[1].copy()
-            pdf = pdf.sort_values(["rank", "text", "y"])
-            data, offsets = flat(pa.array(pdf["text"], pa.large_string()))
-            for i, j in slices(offsets):
-                row, slot, value = features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], bits)
-                cut = np.searchsorted(row, np.arange(j - i + 1))
-                for k in range(j - i):
-                    leader.learn(*_with_bias(slot[cut[k] : cut[k + 1]], value[cut[k] : cut[k + 1]]), pdf["y"].iloc[i + k])
-            import pandas as pd
-
-            return pd.DataFrame({"z": [leader.z.tobytes()], "n": [leader.n.tobytes()]})
-
-        return run
-
-    sc = labelled.sparkSession.sparkContext
-    for _ in range(rounds):
-        start = sc.broadcast(state)  # 16 bytes a weight
-        made = rows.groupBy("shard").applyInPandas(learn(start), "z binary, n binary").collect()
-        if not made:
-            break
-        state = tuple(np.mean([np.frombuffer(r[i], np.float64) for r in made], axis=0) for i in (0, 1))
-    leader = Leader(bits)
-    leader.z, leader.n = state
-    return leader.weights().astype(np.float32)
+
+    def begin(pdf):
+        return learned(Leader(bits), pdf)
+
+    def follow(pdf, start):
+        import pandas as pd
+
+        if not len(pdf):  # a shard without rows has no state
+            return pd.DataFrame({c: [] for c in ("part", "shard", "z", "n")})
+        leader = Leader(bits)
+        start = start.sort_values("part")
+        leader.z, leader.n = (np.concatenate([np.frombuffer(x) for x in start[c]]) for c in ("z", "n"))
+        return learned(leader, pdf)
+
+    def learned(leader, pdf):
+        import pandas as pd
+
+        release()
+        pdf = pdf.sort_values(["rank", "text", "y"])
+        data, offsets = flat(pa.array(pdf["text"], pa.large_string()))
+        for i, j in slices(offsets):
+            row, slot, value = features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], bits)
+            cut = np.searchsorted(row, np.arange(j - i + 1))
+            for k in range(j - i):
+                leader.learn(*_with_bias(slot[cut[k] : cut[k + 1]], value[cut[k] : cut[k + 1]]), pdf["y"].iloc[i + k])
+        at = range(0, 1 << bits, PART)
+        cut = lambda x: [x[i : i + PART].tobytes() for i in at]
+        return pd.DataFrame({"part": range(len(at)), "shard": pdf["shard"].iloc[0], "z": cut(leader.z), "n": cut(leader.n)})
+
+    def mean(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values("shard")
+        z, n = (np.mean([np.frombuffer(x) for x in pdf[c]], axis=0) for c in ("z", "n"))
+        leader = Leader(0)
+        leader.z, leader.n = z, n
+        weights = leader.weights().astype(np.float32)
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "z": [z.tobytes()], "n": [n.tobytes()], "w": [weights.tobytes()]})
+
+    made = rows.groupBy("shard").applyInPandas(begin, "part int, shard int, z binary, n binary")
+    for left in reversed(range(rounds)):
+        state = made.groupBy("part").applyInPandas(mean, "part int, z binary, n binary, w binary")
+        if left:
+            start = state.select("part", "z", "n", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+            made = rows.groupBy("shard").cogroup(start.groupBy("shard")).applyInPandas(follow, made.schema)
+    weights = np.zeros(1 << bits, np.float32)
+    for row in state.select("part", "w").collect():
+        weights[row["part"] * PART : (row["part"] + 1) * PART] = np.frombuffer(row["w"], np.float32)
+    return weights
 
 
 def bounded_sample(labels: DataFrame, limit: int = MAX_TRAINING_ROWS, key: str = "doc_id") -> DataFrame:
