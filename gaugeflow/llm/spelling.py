@@ -8,6 +8,9 @@ letters follow, so a state that cannot end at a word is not made.
 
 Below ``DEPTH`` letters a node has no more edges but the rests of its words, which are compared directly, so
 the number of rounds does not follow the longest word.
+
+Spark sizes a table by its files, also after an explode, and would send one of hundreds of MB through the driver
+because its files are small. So all joins here are sort-merge joins, but for states whose rows have been measured.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from .common import LOWER, UPPER, read, whole_text
 LETTERS = r"[A-Za-zÀ-ÿ]+"
 #: Levels of the trie; words in question are seldom longer.
 DEPTH = 24
+#: Bytes of a state in a broadcast, without its word.
+STATE_BYTES = 100
 
 
 def words(docs: DataFrame, key: str = "doc_id", text: str = "text", changed: int = 97, shortest: int = 5, least: int = 3) -> DataFrame:
@@ -60,6 +65,17 @@ def _node(depth: str) -> str:
     return f"xxhash64(way, left(s, {depth}))"
 
 
+def _merged(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join without a broadcast, whatever Spark takes the tables' sizes for."""
+    return left.join(right.hint("merge"), on, how)
+
+
+def _in_memory(states: DataFrame) -> int:
+    """Bytes of the rows, not of their files; 0 if there are none."""
+    n, letters = states.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("s")), F.lit(0))).first()
+    return n * STATE_BYTES + letters
+
+
 def neighbours(vocabulary: DataFrame, depth: int = DEPTH) -> DataFrame:
     """``(word, near)`` for all pairs of words, both ways, that differ by exactly one inserted, deleted or
     replaced code point. ``vocabulary`` has distinct words in ``word``; null and empty words have no pairs.
@@ -99,7 +115,7 @@ def neighbours(vocabulary: DataFrame, depth: int = DEPTH) -> DataFrame:
     replaced = f"position < m AND letter != {here} AND {fits('m - position - 1', then)}"
     inserted = f"letter != {here} AND {fits('m - position', here)}"
     deleted = f"position + 1 < m AND letter = {then} AND letter != {here} AND {fits('m - position - 2', after)}"
-    spent = own.where(f"position < {depth}").join(edges, "node").where(f"({replaced}) OR ({inserted}) OR ({deleted})")
+    spent = _merged(own.where(f"position < {depth}"), edges, "node").where(f"({replaced}) OR ({inserted}) OR ({deleted})")
     moves = f"""explode(filter(array(
         named_struct('position', if({replaced}, position + 1, -1), 'depth', position + 1),
         named_struct('position', if({inserted}, position, -1), 'depth', position + 1),
@@ -111,12 +127,15 @@ def neighbours(vocabulary: DataFrame, depth: int = DEPTH) -> DataFrame:
 
     arrived, at_end = [], f"position = m OR depth = {depth}"
     frontier = materialise(frontier, "frontier")
+    most = frontier.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     while True:
         arrived.append(frontier)
         states = frontier.where(f"NOT ({at_end})")
-        if states.isEmpty():
+        size = _in_memory(states)
+        if not size:
             break
-        taken = states.withColumn("letter", F.expr(here)).join(edges.select("node", "letter", "child"), ["node", "letter"])
+        states = states.withColumn("letter", F.expr(here)).hint("broadcast" if size <= most else "merge")
+        taken = states.join(edges.select("node", "letter", "child"), ["node", "letter"])
         frontier = materialise(taken.selectExpr("way", "s", "m", "position + 1 AS position", "depth + 1 AS depth", "child AS node", "edits"), "frontier")
 
     # terminal one-edit states
@@ -124,11 +143,11 @@ def neighbours(vocabulary: DataFrame, depth: int = DEPTH) -> DataFrame:
     for table in arrived:
         state = table.where(at_end).selectExpr("node", "substring(s, position + 1) AS rest", "s AS word", "way")
         found = state if found is None else found.unionByName(state)
-    pairs = found.join(ends, ["node", "rest", "way"]).select("way", "word", "near")
+    pairs = _merged(found, ends, ["node", "rest", "way"]).select("way", "word", "near")
     # both words have the trie's whole depth in common, and an edit in the rest
     deep = ends.where(F.char_length("near") >= depth).withColumn("m", F.char_length("near"))
     left = deep.select("node", "way", F.col("near").alias("word"), F.explode(F.expr("array(m - 1, m, m + 1)")).alias("m"))
-    rests = left.join(deep, ["node", "way", "m"]).select("way", "word", "near")
+    rests = _merged(left, deep, ["node", "way", "m"]).select("way", "word", "near")
     turned = [F.when(F.col("way") == 0, F.col(c)).otherwise(F.reverse(c)).alias(c) for c in ("word", "near")]
     pairs = pairs.unionByName(rests).where("word != near AND levenshtein(word, near, 1) = 1").select(*turned).distinct()
     out = materialise(pairs, "pairs")
@@ -143,7 +162,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     roots = materialise(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         onward = roots.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = roots.join(onward, "root", "left").selectExpr("word", "coalesce(next, root) AS root", "next IS NOT NULL AS moved")
+        moved = _merged(roots, onward, "root", "left").selectExpr("word", "coalesce(next, root) AS root", "next IS NOT NULL AS moved")
         step = materialise(moved, "roots")
         release(roots)
         if step.where("moved").isEmpty():
@@ -160,17 +179,17 @@ def group_variants(vocabulary: DataFrame, factor: int = 2, depth: int = DEPTH) -
     an empty vocabulary gives no rows.
     """
     vocabulary = materialise(vocabulary.select("word", "n"), "vocabulary")
-    near = neighbours(vocabulary, depth).join(vocabulary.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    near = _merged(neighbours(vocabulary, depth), vocabulary.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     best = near.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("minus"), F.col("near"))).alias("best"))
     best = best.select("word", "n_near", F.col("best.near").alias("near"), (-F.col("best.minus")).alias("near_n"))
     taken = F.col("near_n") >= F.col("n") * factor
-    rows = vocabulary.join(best, "word", "left").select(
+    rows = _merged(vocabulary, best, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(taken, F.col("near")).alias("form"), F.when(taken, F.col("near_n")).alias("form_n"),
     )
     rows = materialise(rows, "forms")
     roots = _roots(rows.where("form IS NOT NULL"))
-    return rows.join(roots, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return _merged(rows, roots, "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def spelling_variants(spark: SparkSession, sf: str) -> DataFrame:

@@ -101,3 +101,40 @@ def test_whole_table(spark, sf):
         best = min(near, key=lambda v: (-counts[v], v), default=None)
         assert r["form"] == (best if best and counts[best] >= 2 * counts[w] else None)
         assert r["root"] == (found[r["form"]]["root"] if r["form"] else w)
+
+
+@pytest.mark.parametrize("most", [None, "4k"])
+def test_small_files_are_not_broadcast(spark, monkeypatch, most):
+    """Files of large tables can be small, also before an explode. Only states may pass through the driver, by the bytes of their rows."""
+    plans, sizes = [], []
+
+    def written(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        table = materialise(df, label)
+        if label == "frontier":
+            words = [r["s"] for r in table.where("position < m AND depth < 24").select("s").collect()]
+            sizes.append(sum(72 + len(w.encode()) for w in words))
+        return table
+
+    materialise = spelling.materialise
+    monkeypatch.setattr(spelling, "materialise", written)
+    rng = random.Random(11)
+    vocabulary = {"".join(rng.choice("abcé") for _ in range(rng.randint(3, 9))) for _ in range(150)} | {"x" * 70, "x" * 71}
+    counts = {w: rng.choice([1, 2, 4, 9]) for w in vocabulary}
+    rows = spark.createDataFrame(list(counts.items()), "word string, n long").repartition(3)
+    if most:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    try:
+        found = spelling.group_variants(rows)
+        plans.append(("found", found._jdf.queryExecution().executedPlan().toString()))
+        assert _found(found) == _grouped(counts)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rounds = [plan for label, plan in plans if label == "frontier"][1:]
+    others = [(label, plan) for label, plan in plans if plan not in rounds]
+    assert [label for label, plan in others if "Broadcast" in plan] == []
+    assert {"frontier", "pairs", "forms", "roots", "found"} <= {label for label, plan in others if "SortMergeJoin" in plan}
+    assert len(rounds) == len(sizes) - 1 and sizes[-1] == 0
+    sent = [size for plan, size in zip(rounds, sizes) if "Broadcast" in plan]
+    assert sent and max(sent) <= (4096 if most else 10 << 20)
+    assert most is None or len(sent) < len(rounds)
